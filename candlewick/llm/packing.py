@@ -104,8 +104,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
 
         for b in batches:
             ids, texts = b["doc_id"].to_pylist(), b["text"].to_pylist()
-            for lo in range(0, len(ids), 1000):
-                for d, x in zip(ids[lo : lo + 1000], e.documents(texts[lo : lo + 1000], end_id), strict=True):
+            for lo in range(0, len(ids), 4000):
+                for d, x in zip(ids[lo : lo + 4000], e.documents(texts[lo : lo + 4000], end_id), strict=True):
                     held.append(x.astype(e.dtype))
                     names.append(d)
                     n += len(x)

@@ -76,7 +76,7 @@ class ShardWriter:
         self.fs, self.path = _fs(uri)
         self.tmp = f"{self.path}.{uuid.uuid4().hex}.tmp"
         self.out = self.fs.open_output_stream(self.tmp)
-        self.zip = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_checksum=True)
+        self.zip = zstandard.ZstdCompressor(level=1, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_checksum=True)
         self.dtype = dtype
         head = json.dumps({"width": dtype.itemsize, "dictionary": hashlib.sha256(dictionary).hexdigest()}).encode()
         self.out.write(MAGIC + struct.pack("<I", len(head)) + head)
@@ -163,10 +163,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
         shard, out = TaskContext.get().partitionId(), None
         for b in batches:
             ids, texts = b["doc_id"].to_pylist(), b["text"].to_pylist()
-            for lo in range(0, len(ids), 1000):
+            for lo in range(0, len(ids), 4000):
                 if out is None:
                     out = ShardWriter(f"{path}/{SHARD % shard}", dictionary, e.dtype)
-                for d, x in zip(ids[lo : lo + 1000], e.documents(texts[lo : lo + 1000], end_id), strict=True):
+                for d, x in zip(ids[lo : lo + 4000], e.documents(texts[lo : lo + 4000], end_id), strict=True):
                     out.add(d, x)
         if out is not None:
             n, tokens = out.close()

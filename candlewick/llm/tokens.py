@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks that a process keeps before it drops those that came once, about 100 MB.
-KEPT = 500_000
+#: Chunks that a process keeps before it drops those that came once, about 150 MB.
+KEPT = 750_000
 _encoders: dict[str, Encoder] = {}
 
 
@@ -54,7 +54,7 @@ class Encoder:
             raise ValueError("this tokenizer has ids that depend on white space; only those that drop it are supported")
         self.at = _Numbers({" ": 0})
         self.ids = np.zeros(1 << 20, np.uint32)
-        self.begin, self.length, self.seen = np.zeros(KEPT, np.int64), np.zeros(KEPT, np.int64), np.zeros(KEPT, np.int32)
+        self.begin, self.length, self.seen = (np.zeros(KEPT, np.int32) for _ in range(3))
         self.used = 0
 
     def forget(self) -> None:
@@ -81,29 +81,29 @@ class Encoder:
     def learn(self) -> None:
         """Ids for the chunks noted as new. A chunk ends with its space."""
         at = self.at
+        base = len(at) - len(at.new)  # new chunks have consecutive numbers
         new = pa.array(at.new, pa.string())
         word = pc.ascii_rtrim(new, characters=string.punctuation + " ")
-        size = pc.binary_length(word)
-        tail = pc.subtract(pc.subtract(pc.binary_length(new), size), 1)  # without the space
+        tail = pc.subtract(pc.subtract(pc.binary_length(new), pc.binary_length(word)), 1)  # without the space
         joined = pc.and_(pc.greater(tail, 0), pc.utf8_is_alpha(word)).to_numpy(zero_copy_only=False).copy()
         joint = []
         for i, w in zip(np.flatnonzero(joined).tolist(), word.filter(pa.array(joined)).to_pylist(), strict=True):
-            c = at.new[i]
-            if not w.lower().isalpha():  # some letters lower-case to a letter and a mark
+            if w.isascii() or w.lower().isalpha():  # some letters lower-case to a letter and a mark
+                joint.append((base + i, at[w + " "], at[at.new[i][len(w) :]]))  # may note more
+            else:
                 joined[i] = False
-                continue
-            joint.append((at[c], at[w + " "], at[c[len(w) :]]))  # may note more
-        whole = [c for c, j in zip(at.new, joined, strict=False) if not j] + at.new[len(joined) :]
+        numbers = base + np.concatenate([np.flatnonzero(~joined), np.arange(len(joined), len(at.new))])
+        whole = [at.new[i - base] for i in numbers.tolist()]
         at.new = []
+        self._room(len(at), 0)
         for lo in range(0, len(whole), 256):  # a token belongs to the chunk in which it begins
-            part = whole[lo : lo + 256]
+            part, no = whole[lo : lo + 256], numbers[lo : lo + 256]
             e = self.tokenizer.encode("".join(part), add_special_tokens=False)
             size = np.fromiter(map(len, part), np.int64, len(part))
             first = np.cumsum(size) - size
             own = np.searchsorted(first, np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0], "right") - 1
             count = np.bincount(own, minlength=len(part))
-            no = np.fromiter(map(at.__getitem__, part), np.int64, len(part))
-            self._room(len(at), len(own))
+            self._room(0, len(own))
             self.begin[no], self.length[no] = self.used + np.cumsum(count) - count, count
             self.ids[self.used : self.used + len(own)] = e.ids
             self.used += len(own)
@@ -127,7 +127,7 @@ class Encoder:
         ids, sizes, lo = [], [], 0
         while lo < len(texts):
             hi, chars = lo, 0
-            while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= 4_000_000):
+            while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= 8_000_000):
                 chars += len(texts[hi])
                 hi += 1
             part = texts[lo:hi]
@@ -145,11 +145,13 @@ class Encoder:
             self.seen[at] += np.bincount(idx, minlength=len(at)).astype(np.int32)
             at = at[idx]
             n = self.length[at]
-            end = np.cumsum(n)
-            ids.append(self.ids[np.repeat(self.begin[at] - end + n, n) + np.arange(end[-1])])
+            end = np.cumsum(n, dtype=np.int32)
+            where = np.repeat(self.begin[at] - end + n, n)
+            where += np.arange(end[-1], dtype=np.int32)
+            ids.append(self.ids[where])
             # one chunk more than the spaces and line feeds of a text
             last = np.cumsum([t.count(" ") + t.count("\n") + 1 for t in part])
-            sizes.append(np.diff(end[last - 1], prepend=0))
+            sizes.append(np.diff(end[last - 1].astype(np.int64), prepend=0))
             lo = hi
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))] if sizes else [[0]]).astype(np.int64)
         return (np.concatenate(ids) if ids else np.zeros(0, np.uint32)), offsets
