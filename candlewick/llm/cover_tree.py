@@ -296,3 +296,15 @@ def near_vectors(rows: DataFrame, similarity: float = 0.9) -> DataFrame:
     out = v.withColumn("h", F.when(F.coalesce(sound, F.lit(False)), F.struct(F.xxhash64("vector").alias("a"), F.xxhash64(F.lit(3), "vector").alias("b")))).drop("vector").join(of, "h", "left")
     out = out.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").isNull() | F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+#: Every pair of vectors, and the components of the links.
+ORACLE_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+ links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+ reach(node, least) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT links.v, least FROM reach JOIN links ON node = u AND least < links.v)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE u = e.vec_id) AS n_links, r.least AS component_id, e.vec_id = r.least AS kept
+FROM embeddings e JOIN (SELECT node, min(least) AS least FROM reach GROUP BY node) r ON e.vec_id = r.node
+"""

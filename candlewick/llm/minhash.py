@@ -245,3 +245,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     out = out.withColumn("kept", F.col("doc_id") == F.col("component_id")).select("doc_id", "n_shingles", "component_id", "kept")
     stray = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
     return out.unionByName(stray)
+
+
+#: Every pair of documents with a common 3-word shingle, and the components of the links.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS g FROM w),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+ links AS (SELECT u, v FROM c JOIN n x ON c.u = x.doc_id JOIN n y ON c.v = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+ reach(node, least) AS (SELECT doc_id, doc_id FROM documents UNION SELECT links.v, least FROM reach JOIN links ON node = u AND least < links.v)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.least AS component_id, d.doc_id = r.least AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(least) AS least FROM reach GROUP BY node) r ON d.doc_id = r.node
+"""

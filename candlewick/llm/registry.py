@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, minhash, packing, token_files, toxicity
+from . import cover_tree, decontamination, lines, minhash, packing, quality, sharding, token_files, toxicity, url_filter
 from .shared import read
 
 
@@ -41,6 +41,43 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_minhash, op4_line_dedup, op5_token_ids, op8_packing)}
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(read(spark, sf_dir, "embeddings"), similarity=0.9)
 
-SQL: dict[str, str] = {"op4_line_dedup": lines.ORACLE_SQL}
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents"), weights=[1.0] * 16)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs))
+
+
+#: The contract's rules (verdict, host, path).
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), RULES)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_embeddings, op3_minhash, op4_line_dedup, op5_token_ids, op6_sharding, op7_decontamination, op8_packing, op9_quality, op10_url_filter)}
+
+#: op6's checksum has no DuckDB function; tests compute it.
+SQL: dict[str, str] = {
+    "op2_embeddings": cover_tree.ORACLE_SQL,
+    "op3_minhash": minhash.ORACLE_SQL,
+    "op4_line_dedup": lines.ORACLE_SQL,
+    "op10_url_filter": url_filter.oracle_sql(RULES),
+}
