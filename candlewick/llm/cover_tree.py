@@ -31,7 +31,7 @@ from .shared import Union, by_group, components, written
 
 BLOCK = 8192
 PIVOTS = 256
-LEVELS = 6  # radii 1, 1/2 ... 1/32 below the root
+LEVELS = 6  # radii 1/2, 1/4 ... 1/64 below the root; a wider ball tells nothing of vectors in many dimensions
 LOOSE = 4e-6  # of a cosine from single precision
 EXACT = 1e-12
 
@@ -43,7 +43,7 @@ def grow(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     path = np.zeros((n, LEVELS), np.int32)
     runs = [(0, n)]
     for level in range(LEVELS):
-        least = 1 - (2.0 ** -(level + 1) * 2) ** 2 / 2  # cosine at the radius 2 ** -level
+        least = 1 - (2.0 ** -(level + 1)) ** 2 / 2  # the cosine at the level's radius
         nxt = []
         for lo, hi in runs:
             own = order[lo:hi]
@@ -111,7 +111,7 @@ class Tree:
             a = slice(base[level], base[level] + sizes[level])
             m = self.end[a] - self.begin[a]
             d2 = 2 - 2 * np.einsum("ij,ij->i", x, x[np.repeat(self.begin[a], m)])
-            self.radius[a] = np.sqrt(np.maximum(np.maximum.reduceat(d2, self.begin[a]), 0))
+            self.radius[a] = np.where(m > 1, np.sqrt(np.maximum(np.maximum.reduceat(d2, self.begin[a]), 0)), 0)
         total = np.concatenate([[0], np.cumsum(weight)])
         self.weight = total[self.end] - total[self.begin]
 
@@ -168,14 +168,18 @@ def dual(a: Tree, b: Tree, similarity: float):
 
 def _dense(a: Tree, b: Tree, p: np.ndarray, q: np.ndarray, bound: float, judge) -> None:
     """Of many node pairs at once, hands on those that a bound in single precision doesn't drop."""
-    p, q = p[np.argsort(a.radius[p], kind="stable")], q[np.argsort(b.radius[q], kind="stable")]
+    # nodes that are a vector, or copies of one, share one bound; few others are as near the root
+    p, q = p[np.argsort(a.radius[p] > 0, kind="stable")], q[np.argsort(b.radius[q] > 0, kind="stable")]
     for lo in range(0, len(p), 2048):
         pp = p[lo : lo + 2048]
-        x = a.single[a.begin[pp]]
+        x, rx = a.single[a.begin[pp]], a.radius[pp].astype(np.float32)
         for at in range(0, len(q), 2048):
             qq = q[at : at + 2048]
-            reach = min(2.0, bound + a.radius[pp[-1]] + b.radius[qq[-1]])
-            i, j = np.nonzero(x @ b.single[b.begin[qq]].T >= np.float32(1 - reach * reach / 2 - LOOSE))
+            ry = b.radius[qq].astype(np.float32)
+            reach = np.float32(bound)
+            if rx[-1] > 0 or ry[-1] > 0:
+                reach = np.minimum(reach + rx[:, None] + ry[None], np.float32(2))
+            i, j = np.nonzero(x @ b.single[b.begin[qq]].T >= 1 - reach * reach / 2 - np.float32(LOOSE))
             if len(i):
                 judge(pp[i], qq[j])
 
