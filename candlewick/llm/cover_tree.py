@@ -278,17 +278,18 @@ def near_vectors(rows: DataFrame, similarity: float = 0.9) -> DataFrame:
     # a row for each block of thousands of vectors; which of them meet is settled here
     blocks = trees.groupBy("dim", "cell", "part").agg(F.max("dist").alias("radius")).orderBy("dim", "cell", "part").collect()
     bound = math.sqrt(2 - 2 * similarity) + 1e-9
+    apart = {d: np.sqrt(np.maximum(2 - 2 * p @ p.T, 0)) for d, p in pivots.items()}
+    dim, cell, radius = np.array([(b.dim, b.cell) for b in blocks], np.int64).reshape(-1, 2).T.tolist() + [np.array([b.radius for b in blocks])]
+    dim, cell = np.array(dim), np.array(cell)
     meet = []
     for i, p in enumerate(blocks):
-        for j in range(i, len(blocks)):
-            q = blocks[j]
-            if p.dim != q.dim:
-                break
-            apart = 0.0
-            if p.dim in pivots and (p.cell, p.part) != (q.cell, q.part):
-                apart = math.sqrt(max(0.0, 2 - 2 * float(pivots[p.dim][p.cell] @ pivots[p.dim][q.cell])))
-            if apart - p.radius - q.radius <= bound:
-                meet += [(p.dim, p.cell, p.part, i * len(blocks) + j, 0, i == j)] + ([(q.dim, q.cell, q.part, i * len(blocks) + j, 1, False)] if i != j else [])
+        later = np.arange(i, len(blocks))
+        later = later[dim[later] == p.dim]
+        if p.dim in apart:
+            later = later[apart[p.dim][p.cell][cell[later]] - p.radius - radius[later] <= bound]
+        for j in later.tolist():
+            q, pair = blocks[j], i * len(blocks) + j
+            meet += [(p.dim, p.cell, p.part, pair, 0, i == j)] + ([(q.dim, q.cell, q.part, pair, 1, False)] if i != j else [])
     pairs = spark.createDataFrame(meet, "dim int, cell int, part int, pair long, side int, own boolean")
     found = written(by_group(trees.drop("dist").join(pairs, ["dim", "cell", "part"]), ["pair"], ["side", "place"], _links(similarity), "rep long, links long, root long"), "links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
