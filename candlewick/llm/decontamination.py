@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import release
+
 ERRORS = 0.1
 #: Items of fewer characters say nothing: they occur by chance.
 LEAST = 24
@@ -167,6 +169,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     edits = [min((int(z) for z in (x, y) if z is not None and z == z), default=None) for x, y in zip(edits, b["edits"], strict=True)]
                 frame = pd.DataFrame({"doc_id": b["doc_id"], "item_ids": ids, "edits": pd.array(edits, dtype="Int32")})
                 yield frame.assign(text=b["text"]) if keep else frame
+            release()
 
         out = (rows if out is None else out).mapInPandas(work, "doc_id string, item_ids array<long>, edits int" + ", text string" * (k < slices - 1))
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "edits")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Union, by_group, components, remove, written
+from .shared import Union, by_group, components, parts, release, written
 from .words import mix, overlap, shingles
 
 TREES = 24
@@ -87,9 +87,10 @@ def sketch(docs: DataFrame, size: int, depth: int) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            for lo in range(0, len(b), 512):
-                p = b.iloc[lo : lo + 512]
-                sets = shingles([None if x is None or x != x else x for x in p["text"]], size)
+            texts = [x if isinstance(x, str) else None for x in b["text"]]
+            for lo, hi in parts(texts):
+                p = b.iloc[lo:hi]
+                sets = shingles(texts[lo:hi], size)
                 count = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(count)
                 fps = np.zeros((2, len(p)), np.int64)
@@ -109,6 +110,7 @@ def sketch(docs: DataFrame, size: int, depth: int) -> DataFrame:
                         for k in range(3):
                             ks[k][i] = deep[k][j]
                 yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(np.int64), "n": count, "fp1": fps[0], "fp2": fps[1], "sig": sig, "k1": ks[0], "k2": ks[1], "k4": ks[2]})
+        release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     return rows.mapInPandas(work, "doc_id long, n long, fp1 long, fp2 long, sig binary, k1 array<long>, k2 array<long>, k4 array<long>")
@@ -169,9 +171,10 @@ def confirm(docs: DataFrame, coarse: DataFrame, reps: DataFrame, size: int, perc
 
     def sets(batches):
         for b in batches:
-            for lo in range(0, len(b), 512):
-                p = b.iloc[lo : lo + 512]
-                yield p.assign(shingles=[s.tobytes() for s in shingles(list(p["text"]), size)]).drop(columns=["text"])
+            texts = list(b["text"])
+            for lo, hi in parts(texts):
+                yield b.iloc[lo:hi].assign(shingles=[s.tobytes() for s in shingles(texts[lo:hi], size)]).drop(columns=["text"])
+        release()
 
     full = texts.mapInPandas(sets, "node long, component long, sig binary, n long, blocks int, shingles binary").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # the pairs of blocks that a document takes part in; one block: itself

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import release
 from .tokens import encoder
 
 SEQUENCE = 4096
@@ -103,9 +104,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
             return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in out], _NAMES)
 
         for b in batches:
-            ids, texts = b["doc_id"].to_pylist(), b["text"].to_pylist()
-            for lo in range(0, len(ids), 4000):
-                for d, x in zip(ids[lo : lo + 4000], e.documents(texts[lo : lo + 4000], end_id), strict=True):
+            ids = b["doc_id"].to_pylist()
+            for lo in range(0, len(ids), 1000):
+                texts = b["text"].slice(lo, 1000).to_pylist()
+                for d, x in zip(ids[lo : lo + 1000], e.documents(texts, end_id), strict=True):
                     held.append(x.astype(e.dtype))
                     names.append(d)
                     n += len(x)
@@ -113,5 +115,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
                         yield block()
         if n:
             yield block()
+        release()
 
     return rows.mapInArrow(work, SCHEMA)

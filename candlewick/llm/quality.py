@@ -16,13 +16,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import parts, release
 from .words import join_bytes, mix, segment_hashes, word_spans
 
-SAMPLE = 6000
+SAMPLE = 4000
 WIDTH = 1 << 16
 PASSES = 12
 #: The most good texts on which a labeller may vote bad.
 FALSE_ALARM = 0.01
+#: The least share of bad texts that are of a labeller's kind.
+SHARE = 0.1
 
 _LOWER, _UPPER, _DIGIT, _ODD = (np.zeros(256, bool) for _ in range(4))
 _LOWER[97:123] = _UPPER[65:91] = _DIGIT[48:58] = True
@@ -97,7 +100,7 @@ class Measures:
         steps = np.nan_to_num(np.ceil(np.sqrt(self.values) * 12), nan=31).astype(np.uint64) + (np.arange(self.values.shape[1], dtype=np.uint64) * np.uint64(64))
         where = (mix(steps + np.uint64(0xABCDEF)) % np.uint64(WIDTH)).astype(np.int64)
         rows = np.repeat(np.arange(len(self.n)), self.values.shape[1])
-        return np.concatenate([doc, rows]), np.concatenate([column, where.ravel()]), np.concatenate([value, np.full(len(rows), 0.3)])
+        return np.concatenate([doc, rows]).astype(np.int32), np.concatenate([column, where.ravel()]).astype(np.int32), np.concatenate([value, np.full(len(rows), 0.3)]).astype(np.float32)
 
 
 def _again(h: np.ndarray) -> np.ndarray:
@@ -114,7 +117,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300) -> tup
     votes bad. No vote is no evidence. A labeller looks for one kind of bad text and may
     pass over all others, so its good votes on bad texts have no bound. Kinds of bad text
     exclude each other, and the likeliest two classes could be one kind and all the
-    rest; thresholds are set so that few good texts get a bad vote, which rules that out.
+    rest, or one class of all. Thresholds are set so that few good texts get a bad vote, and
+    labellers so that each sees a fair share of bad ones; bounds on the rates say so.
     Labellers are taken to vote independently given the class; priors keep rates off 0 and 1.
     """
     votes = np.stack([patterns == -1, patterns == 1], 2).astype(np.float64)  # pattern, labeller, bad or good
@@ -128,7 +132,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300) -> tup
         each = np.stack([w * now, w * (1 - now)])
         cast = np.einsum("cp,pkv->ckv", each, votes)
         rates = (cast[:, :, 0] + 5 * start) / (cast.sum(2) + 5)
-        rates = np.stack([np.minimum(rates[0], FALSE_ALARM), np.maximum(rates[1], 2 * FALSE_ALARM)])
+        rates = np.stack([np.minimum(rates[0], FALSE_ALARM), np.maximum(rates[1], SHARE)])
         prior = float(np.clip((each[0].sum() + 8.5) / (w.sum() + 10), 0.01, 0.99))
         done = np.abs(now - post).max(initial=0) < 1e-9
         post = now
@@ -145,13 +149,14 @@ class Scorer:
         doc, column, value = m.features()
         return np.bincount(doc, self.weight[column] * value, len(m.n)) + self.bias
 
-    def train(self, m: Measures, target: np.ndarray, weight: np.ndarray) -> None:
+    def train(self, features: tuple[np.ndarray, np.ndarray, np.ndarray], target: np.ndarray, weight: np.ndarray) -> None:
         """Logistic regression on soft labels, by Adam over all of the sample."""
-        doc, column, value = m.features()
+        doc, column, value = features
+        n = len(target)
         m1, m2, b1, b2 = np.zeros(WIDTH), np.zeros(WIDTH), 0.0, 0.0
         total = max(weight.sum(), 1e-9)
         for t in range(1, PASSES * 10 + 1):
-            p = 1 / (1 + np.exp(-np.clip(np.bincount(doc, self.weight[column] * value, len(m.n)) + self.bias, -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(np.bincount(doc, self.weight[column] * value, n) + self.bias, -30, 30)))
             d = (p - target) * weight / total
             g = np.bincount(column, d[doc] * value, WIDTH) + 1e-5 * self.weight
             gb = d.sum()
@@ -166,31 +171,36 @@ def _texts(b: pd.DataFrame) -> list[str | None]:
     return [x if isinstance(x, str) else None for x in b["text"]]
 
 
-def _parts(texts: list[str | None], chars: int = 4_000_000):
-    lo = 0
-    while lo < len(texts):
-        hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size + len(texts[hi] or "") <= chars):
-            size += len(texts[hi] or "")
-            hi += 1
-        yield lo, hi
-        lo = hi
-
-
 def patterns_of(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The patterns of votes over all documents, and how many have each."""
 
     def work(batches):
         for b in batches:
             texts = _texts(b)
-            codes = [Measures(texts[lo:hi]).votes() for lo, hi in _parts(texts)]
+            codes = [Measures(texts[lo:hi]).votes() for lo, hi in parts(texts)]
             each, n = np.unique(np.concatenate(codes), axis=0, return_counts=True)
             yield pd.DataFrame({"votes": list(each.astype(np.int32)), "n": n})
+        release()
 
     found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(work, "votes array<int>, n long").groupBy("votes").agg(F.sum("n").alias("n")).orderBy("votes").collect()
     return np.array([r.votes for r in found], np.int8).reshape(-1, len(LABELLERS)), np.array([r.n for r in found], np.int64)
 
 
+def _learned(batches):
+    """Votes and features of the sample's texts, equal columns of a text summed."""
+    for b in batches:
+        texts = _texts(b)
+        for lo, hi in parts(texts):
+            m = Measures(texts[lo:hi])
+            doc, column, value = m.features()
+            keys, at = np.unique(doc.astype(np.int64) * WIDTH + column, return_inverse=True)
+            total = np.bincount(at, value, len(keys)).astype(np.float32)
+            cut = np.searchsorted(keys, np.arange(hi - lo + 1) * WIDTH)
+            low = (keys % WIDTH).astype(np.uint16)
+            yield pd.DataFrame({"h": b["h"].to_numpy()[lo:hi], "votes": list(m.votes().astype(np.int32)), "columns": [low[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)], "values": [total[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)]})
+    release()
+
+
 def fit(docs: DataFrame) -> Scorer:
     patterns, counts = patterns_of(docs)
     post, _, _ = estimate(patterns, counts)
@@ -201,9 +211,12 @@ def fit(docs: DataFrame) -> Scorer:
     scorer = Scorer()
     if edge is None:
         return scorer
-    texts = [r.text for r in few.where(h <= edge).select("text").limit(SAMPLE).toLocalIterator()]
-    m = Measures(texts)
-    own = m.votes()
+    # what the executors send is features and votes rather than texts
+    found = few.where(h <= edge).select(h.alias("h"), "text").mapInPandas(_learned, "h long, votes array<int>, columns binary, values binary").orderBy("h", F.xxhash64("columns", "values")).limit(SAMPLE).collect()
+    own = np.array([r.votes for r in found], np.int8).reshape(-1, len(LABELLERS))
+    columns = [np.frombuffer(r["columns"], np.uint16) for r in found]
+    features = np.repeat(np.arange(len(found), dtype=np.int32), [len(c) for c in columns]), np.concatenate(columns), np.concatenate([np.frombuffer(r["values"], np.float32) for r in found])
+    del found, columns
     # each vote row finds its pattern's posterior
     code = lambda v: (v.astype(np.int64) + 1) @ (3 ** np.arange(len(LABELLERS)))
     order = np.argsort(code(patterns))
@@ -213,7 +226,7 @@ def fit(docs: DataFrame) -> Scorer:
     share = float((target * sure).sum() / max(sure.sum(), 1e-9))
     # both classes weigh the same, within reason
     balance = target * np.clip(0.5 / max(share, 1e-9), 0.5, 5) + (1 - target) * np.clip(0.5 / max(1 - share, 1e-9), 0.5, 5)
-    scorer.train(m, target, sure * balance)
+    scorer.train(features, target, sure * balance)
     return scorer
 
 
@@ -229,10 +242,11 @@ def score_documents(docs: DataFrame, scorer: Scorer) -> DataFrame:
         for b in batches:
             texts = _texts(b)
             score = np.zeros(len(b))
-            for lo, hi in _parts(texts):
+            for lo, hi in parts(texts):
                 m = Measures(texts[lo:hi])
                 score[lo:hi] = np.where(m.n > 0, 1 / (1 + np.exp(-np.clip(held.value.logits(m), -30, 30))), 0)
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": score, "kept": score >= 0.5})
+        release()
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInPandas(work, "doc_id string, score double, kept boolean").withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -34,6 +36,9 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.parquet(path)
+    # shuffle files go once the driver collects its garbage; what was written needs none
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -86,10 +91,36 @@ def by_group(df: DataFrame, keys: list[str], order: list[str], f: Callable[[pd.D
                 out, n = [], 0
         if out:
             yield pd.concat(out, ignore_index=True)
+        out = None
+        release()
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(work, schema)
 
 
+def parts(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about so many characters; bounds what is in memory at a time, but for a single longer text."""
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size + len(texts[hi] or "") <= chars):
+            size += len(texts[hi] or "")
+            hi += 1
+        yield lo, hi
+        lo = hi
+
+
+def release() -> None:
+    """Gives memory that a Python worker has freed back to the system; workers stay between tasks and stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Union:
     """Union-find over 0..n-1; the smaller root stays."""
 

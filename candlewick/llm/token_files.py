@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import new_path, written
+from .shared import new_path, release, written
 from .tokens import encoder
 
 MAGIC = b"CWTOK01\n"
@@ -162,12 +162,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
         e = encoder(tokenizer)
         shard, out = TaskContext.get().partitionId(), None
         for b in batches:
-            ids, texts = b["doc_id"].to_pylist(), b["text"].to_pylist()
-            for lo in range(0, len(ids), 4000):
+            ids = b["doc_id"].to_pylist()
+            for lo in range(0, len(ids), 1000):
+                texts = b["text"].slice(lo, 1000).to_pylist()
                 if out is None:
                     out = ShardWriter(f"{path}/{SHARD % shard}", dictionary, e.dtype)
-                for d, x in zip(ids[lo : lo + 4000], e.documents(texts[lo : lo + 4000], end_id), strict=True):
+                for d, x in zip(ids[lo : lo + 1000], e.documents(texts, end_id), strict=True):
                     out.add(d, x)
+        release()
         if out is not None:
             n, tokens = out.close()
             yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (shard, n, tokens)], ["shard", "documents", "tokens"])

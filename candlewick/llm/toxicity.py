@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import parts, release
 from .words import join_bytes, mix, segment_hashes, word_spans
 
 WINDOW, STRIDE = 48, 36
@@ -53,7 +54,7 @@ class Vocabulary:
         marked[end - 1] = 62
         inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         marked[np.repeat(end - n - 1, n) + inner] = buf[np.repeat(s, n) + inner]
-        own = np.repeat(np.arange(len(n)), n + 2)
+        own = np.repeat(np.arange(len(n), dtype=np.int32), n + 2)
         grams, owners = [], []
         x = marked.astype(np.uint64)
         with np.errstate(over="ignore"):
@@ -64,12 +65,12 @@ class Vocabulary:
                 for i in range(k):
                     v = v * np.uint64(257) + x[i : len(x) - k + 1 + i]
                 whole = own[: len(v)] == own[k - 1 :]
-                grams.append(mix(v[whole]))
+                grams.append((mix(v[whole]) % np.uint64(CHAR_ROWS)).astype(np.int32))
                 owners.append(own[: len(v)][whole])
-        g = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        o = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+        g = np.concatenate(grams) if grams else np.zeros(0, np.int32)
+        o = np.concatenate(owners) if owners else np.zeros(0, np.int32)
         order = np.argsort(o, kind="stable")
-        self.grams = (g[order] % np.uint64(CHAR_ROWS)).astype(np.int64)
+        self.grams = g[order]
         self.count = np.bincount(o, minlength=len(n))  # at least one: a word of one byte has the gram with both marks
         self.begin = np.cumsum(self.count) - self.count
 
@@ -306,7 +307,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str) -> pd.DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= TRAIN_CHARS)
     rows = texts.join(F.broadcast(ids), "__id").dropDuplicates(["__id"])  # at most 4 * SAMPLE ids are broadcast
     top = [rows.where(F.col("__y") == y).orderBy("__h").limit(SAMPLE) for y in (0, 1)]
-    return top[0].unionByName(top[1]).select("text", "__y").toPandas().rename(columns={"__y": "y"})
+    rows = top[0].unionByName(top[1]).select("text", "__y", "__h").toPandas()
+    return rows.sort_values(["__h", "text"]).rename(columns={"__y": "y"})
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Network:
@@ -327,15 +329,11 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
         net = held.value
         for b in batches:
             texts = [x if isinstance(x, str) else None for x in b["text"]]
-            score, lo = np.zeros(len(b)), 0
-            while lo < len(b):
-                hi, chars = lo, 0
-                while hi < len(b) and (hi == lo or chars + len(texts[hi] or "") <= 4_000_000):
-                    chars += len(texts[hi] or "")
-                    hi += 1
+            score = np.zeros(len(b))
+            for lo, hi in parts(texts, 1_500_000):
                 score[lo:hi] = net.score(texts[lo:hi])
-                lo = hi
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": score, "predicted": (score >= 0.5).astype(np.int32)})
+        release()
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = rows.mapInPandas(work, "doc_id string, score double, predicted int")
