@@ -58,7 +58,7 @@ def tally(judged: DataFrame) -> DataFrame:
         F.count_if("no_right").alias("missing_from_right"),
         F.count_if(F.expr(f"{both} and price_off")).alias("price_mismatches"),
         F.count_if(F.expr(f"{both} and volume_off")).alias("volume_mismatches"),
-        F.coalesce(F.bool_or(F.expr(f"{both} and l.volume <> 0 and r.volume <> 0")), F.lit(False)).alias("volume_available"),
+        F.coalesce(F.bool_or(F.expr(f"{both} and (l.volume <> 0 or r.volume <> 0)")), F.lit(False)).alias("volume_available"),
         _earliest_max("price_gap").alias("p"),
         F.max("price_relative").alias("max_price_relative_difference"),
         _earliest_max("volume_gap").alias("v"),
@@ -77,7 +77,7 @@ def field_differences(judged: DataFrame, price_tolerance: str, volume_tolerance:
     one = lambda i, c, tol: F.when(beyond(F.col(f"l.{c}"), F.col(f"r.{c}"), tol), F.struct(F.lit(i).alias("position"), F.lit(c).alias("field"), F.col(f"l.{c}").cast("decimal(28,8)").alias("left"), F.col(f"r.{c}").cast("decimal(28,8)").alias("right")))
     parts = [one(i, c, volume_tolerance if c == "volume" else price_tolerance) for i, c in enumerate(FIELDS)]
     rows = judged.where("price_off or volume_off").select("timestamp", F.explode(F.array_compact(F.array(*parts))).alias("d")).select("timestamp", "d.*")
-    return rows.withColumn("difference", F.abs(F.col("left") - F.col("right")).cast("decimal(28,8)")).withColumn("relative_difference", relative_difference(F.col("left"), F.col("right")))
+    return rows.withColumn("difference", (F.col("left") - F.col("right")).cast("decimal(28,8)")).withColumn("relative_difference", relative_difference(F.col("left"), F.col("right")))
 
 
 def first_differences(differences: DataFrame, limit: int = SAMPLE) -> DataFrame:

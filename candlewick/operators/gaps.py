@@ -25,7 +25,7 @@ def plain_gaps(stamps: DataFrame, cadence: int, start: int | None = None, end: i
     once = stamps.select("k", "us").distinct()
     c = cadence
     step = once.withColumn("prev", F.lag("us").over(Window.partitionBy("k").orderBy("us")))
-    out = _out(step.where("prev is not null"), f"prev + {c}", "us", f"(us - prev) div {c} - 1", f"missing > 0 and gap_end - gap_start + {c} > {c}")
+    out = _out(step.where("prev is not null"), f"prev + {c}", "us", f"(us - prev) div {c} - 1")
     if start is not None or end is not None:
         ends = once.groupBy("k").agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
         if start is not None:

@@ -351,7 +351,7 @@ def compare_relative_mismatch(spark, d):
 _FIELDS = " UNION ALL ".join(f"SELECT stamp, {i} AS position, '{c}' AS field, l_{c}::DECIMAL(28,8) AS l, r_{c}::DECIMAL(28,8) AS r FROM pairs WHERE abs(l_{c} - r_{c}) > {'0.05' if c == 'volume' else '0.0001'} * greatest(abs(l_{c}), abs(r_{c}))" for i, c in enumerate((*PRICES, "volume")))
 
 
-@query(f"WITH {_PAIR}, f AS ({_FIELDS}) SELECT epoch_us(stamp) AS us, field, l::VARCHAR AS \"left\", r::VARCHAR AS \"right\", abs(l - r)::DECIMAL(28,8)::VARCHAR AS difference FROM f ORDER BY stamp, position LIMIT 20")
+@query(f"WITH {_PAIR}, f AS ({_FIELDS}) SELECT epoch_us(stamp) AS us, field, l::VARCHAR AS \"left\", r::VARCHAR AS \"right\", (l - r)::DECIMAL(28,8)::VARCHAR AS difference FROM f ORDER BY stamp, position LIMIT 20")
 def compare_field_differences_top20(spark, d):
     f = cmp.first_differences(cmp.field_differences(_judged(spark, d), "0.0001", "0.05"))
     return f.select(_us().alias("us"), "field", *[F.col(c).cast("string").alias(c) for c in ("left", "right", "difference")])

@@ -64,7 +64,7 @@ def status_error(code: int, detail: str, retry_after: float | None = None) -> Pr
         return ProviderRateLimitError(f"rate limited: {detail}", retry_after=retry_after)
     if code in (401, 403):
         return ProviderAuthError(f"not authorised ({code}): {detail}")
-    if code == 408:
+    if code in (408, 425):
         return ProviderTimeoutError(f"timed out ({code}): {detail}", retry_after=retry_after)
     if code >= 500:
         return ProviderServerError(f"server error ({code}): {detail}", retry_after=retry_after)

@@ -116,8 +116,7 @@ class CsvSource(CandleSource):
         wanted = symbol.strip().upper()
         raw = lambda c: F.col(f"c{at[c]}") if c in at else F.lit(None).cast("string")
         if "symbol" in at:  # rows of other symbols aren't looked at further
-            own = symbol_of(raw("symbol"))
-            df = df.where(own.isin(wanted, wanted.replace("_", "/"), wanted.replace("/", "_")))
+            df = df.where(symbol_of(raw("symbol")) == wanted)
         volume = F.coalesce(F.nullif(F.trim(raw("volume")), F.lit("")), F.lit("0"))
         df = df.select("line", F.col("__extra").isNotNull().alias("long"), raw("timestamp").alias("raw_timestamp"), timestamp_of(raw("timestamp")).alias("timestamp"), *[raw(c).alias(f"raw_{c}") for c in PRICES], *[decimal_of(raw(c)).alias(c) for c in PRICES], volume.alias("raw_volume"), decimal_of(volume).alias("volume"))
         bad = F.when(F.col("long"), F.lit("values")).when(F.col("timestamp").isNull(), F.lit("timestamp"))

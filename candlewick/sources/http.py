@@ -24,14 +24,16 @@ from .base import CandleSource, ProviderConnectionError, ProviderDataError, Prov
 from .limits import RateLimit, RateLimiter, Retrier, RetryPolicy
 
 PAGE = 5000
+#: What the service offers.
+TIMEFRAMES = ("10sec", "1min", "10m", "1hour", "1day", "1day_eet")
 Client = Callable[[str, dict[str, Any]], Any]
 
 
 def url_client(base_url: str, key: str | None = None, timeout: float = 30.0) -> Client:
     def get(path: str, params: dict[str, Any]) -> Any:
-        query = urllib.parse.urlencode(params | ({"key": key} if key else {}))
+        query = urllib.parse.urlencode({"path": f"api/{path}"} | params | ({"key": key} if key else {}))
         try:
-            with urllib.request.urlopen(f"{base_url}{path}?{query}", timeout=timeout) as r:
+            with urllib.request.urlopen(f"{base_url.rstrip('/')}/?{query}", timeout=timeout) as r:
                 return json.loads(r.read(), parse_float=Decimal)
         except urllib.error.HTTPError as e:
             after = e.headers.get("Retry-After", "")
@@ -77,11 +79,11 @@ class PagedHttpSource(CandleSource):
 
     def _instruments(self) -> dict[str, int]:
         if self._ids is None:
-            found = self._get("/instruments", {})
-            try:
-                self._ids = {str(x["name"]).strip().upper(): int(x["id"]) for x in found}
-            except (TypeError, KeyError, ValueError) as e:
-                raise ProviderDataError(f"unreadable instrument list: {e}") from e
+            found = self._get("instrumentList", {"fields": "id,name,pipValue,nameLong"})
+            if not isinstance(found, list):
+                raise ProviderDataError("the instrument list is no list")
+            known = (x for x in found if isinstance(x, dict) and isinstance(x.get("name"), str) and isinstance(x.get("id"), int))
+            self._ids = {x["name"].strip().upper(): x["id"] for x in known if x["name"].strip()}
         return self._ids
 
     def get_supported_symbols(self) -> list[str]:
@@ -108,6 +110,8 @@ class PagedHttpSource(CandleSource):
     def fetch_candles(self, symbol: str, start: datetime, end: datetime, timeframe: str) -> DataFrame:
         if micros(start) >= micros(end):
             raise ValueError("start must be before end")
+        if timeframe not in TIMEFRAMES:
+            raise ValueError(f"unsupported timeframe {timeframe!r}; supported: {', '.join(TIMEFRAMES)}")
         wanted = symbol.strip().upper()
         ids = self._instruments()
         if wanted not in ids:
@@ -115,17 +119,19 @@ class PagedHttpSource(CandleSource):
         lo, hi = micros(start) // 1000, micros(end) // 1000
         rows: dict[int, tuple] = {}
         while hi > lo:
-            page = self._get("/candles", {"instrument": ids[wanted], "timeFrame": timeframe, "start": lo, "end": hi, "count": PAGE})
-            items = page.get("candles") if isinstance(page, dict) else None
-            if items is None:
+            page = self._get("historicalPrices", {"instrument": ids[wanted], "timeFrame": timeframe, "count": PAGE, "start": lo, "end": hi, "dayStartTime": "UTC", "offerSide": "B"})
+            if not isinstance(page, dict):
                 raise ProviderDataError("a page without candles")
+            items = [x for x in page.get("candles") or [] if isinstance(x, dict)]
+            if not items:
+                break
             for x in items:
                 c = self.decode(x, wanted)
                 rows[micros(c[0])] = c
-            if len(items) < PAGE:
-                break
             oldest = min(int(x["timestamp"]) for x in items)
-            if oldest >= hi:
+            if oldest <= lo:
+                break
+            if oldest - 1 >= hi:
                 raise ProviderDataError("paging makes no progress")
             hi = oldest - 1
         kept = [(*rows[k], i) for i, k in enumerate(sorted(rows)) if micros(start) <= k < micros(end)]

@@ -34,8 +34,9 @@ class RetryPolicy:
         return f"{self.attempts} attempts, {self.initial:g}s x{self.factor:g} up to {self.cap:g}s" if self.enabled else "none"
 
     def wait(self, attempt: int, retry_after: float | None = None) -> float:
-        """Seconds after the attempt of that number (from 1); what the source asks for, up to the cap."""
-        return min(retry_after if retry_after is not None else self.initial * self.factor ** (attempt - 1), self.cap)
+        """Seconds after the attempt of that number (from 1); longer if the source asks for it, up to the cap."""
+        own = self.cap if attempt > 64 else self.initial * self.factor ** (attempt - 1)
+        return min(max(own, retry_after or 0.0), self.cap)
 
 
 @dataclass
