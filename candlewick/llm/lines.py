@@ -6,12 +6,12 @@ line of n characters has n + 1 such variants, each n long, which is too many to
 every line. But near lines also agree outside any stretch that holds the edit. So the
 neighbourhood is emitted in rounds that lose nothing:
 
-1. variants with a whole half deleted, 4 for each line. A line that shares none with a
+1. variants with a whole half deleted, 4 for each line, as 64-bit hashes. A line that shares none with a
    different line is near to no line, which is the case for nearly all;
-2. of the others, variants with an eighth deleted, and of what is left a 64th;
+2. of the others, variants with an eighth deleted, and of long lines then a 64th;
 3. of what still shares one, the variants with one character of that stretch deleted.
 
-Variants are 128-bit hashes. Lines of equal length with the same variant at the same
+Later variants are 128-bit hashes. Lines of equal length with the same variant at the same
 place differ in that character alone, and a line that equals a longer one's variant is
 one insertion away; so an aggregate for each variant finds the earliest line that is
 near, without pairs of all lines that share it. ``levenshtein`` verifies each find.
@@ -28,6 +28,13 @@ from .shared import written
 
 MIN_CHARS = 16
 ROUNDS = (2, 8, 64)
+#: Characters from which a line goes through the last round too.
+LONG = 2048
+
+
+#: Rows up to which the lines that get past round 1 are broadcast, about 40 MB; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+_SHIFT = 1 << 32
 
 
 def _hash(*cols: Column) -> Column:
@@ -41,9 +48,25 @@ def counts(line: Column) -> Column:
 
 
 def exploded(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, id) of the lines that take part."""
+    """(pos, line) of the lines that take part; pos orders by doc_id and place. One number, so that aggregates hash."""
     lines = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
-    return lines.where(counts(F.col("line"))).withColumn("id", _hash(F.col("line")))
+    pos = (F.col("doc_id").cast("decimal(20,0)") * F.lit(_SHIFT).cast("decimal(10,0)") + F.col("line_no").cast("decimal(10,0)")).cast("decimal(38,0)")
+    return lines.where(counts(F.col("line"))).select(pos.alias("pos"), "line")
+
+
+def first_places(docs: DataFrame) -> DataFrame:
+    """(a, b, pos): of each distinct line, by its hash, the earliest place."""
+    return exploded(docs).select(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(0x5BD1E995), "line").alias("b"), "pos").groupBy("a", "b").agg(F.min("pos").alias("pos"))
+
+
+def _halves(docs: DataFrame) -> DataFrame:
+    """(key, a): each line with either half deleted, for lines of its length and of one character less or more."""
+    n = F.length("line")
+    keys = []
+    for m in (n, n - 1):
+        h = F.floor(m / 2).cast("int")
+        keys += [F.xxhash64(m, F.lit(0), F.substring("line", F.lit(1), h)), F.xxhash64(m, F.lit(1), F.substring("line", n - m + h + 1, m - h))]
+    return exploded(docs).select(F.xxhash64("line").alias("a"), F.explode(F.array(*keys)).alias("key"))
 
 
 def _stretches(parts: int) -> Column:
@@ -58,42 +81,47 @@ def _stretches(parts: int) -> Column:
 
 
 def _variants(lines: DataFrame, parts: int) -> DataFrame:
-    """(id, line, lo, hi, key) for each line and stretch."""
+    """(id, n, m, lo, hi, key) for each line, of n characters, and stretch; lines themselves stay where they are."""
     s = lines.select("id", "line", F.explode(_stretches(parts)).alias("s")).select("id", "line", "s.*")
     head, tail = F.substring("line", F.lit(1), F.col("lo")), F.substring("line", F.length("line") - F.col("hi") + 1, F.col("hi"))
-    return s.select("id", "line", "lo", "hi", _hash(F.col("m"), F.col("p"), head, tail).alias("key"))
+    return s.select("id", F.length("line").alias("n"), "m", "lo", "hi", _hash(F.col("m"), F.col("p"), head, tail).alias("key"))
 
 
-def _met(variants: DataFrame) -> DataFrame:
+def _met(variants: DataFrame, line: str) -> DataFrame:
     """Keys of at least two different lines."""
-    return variants.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    return variants.groupBy("key").agg(F.min(line).alias("x"), F.max(line).alias("y")).where("x <> y").select("key")
 
 
 def shadowed(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(id) of the distinct lines near to an earlier, different line. firsts: (id, pos) with each line's first place."""
-    halves = _variants(exploded(docs), ROUNDS[0]).select("id", "key")
-    few = halves.join(_met(halves), "key", "left_semi").select("id").distinct()
-    places = firsts.join(few, "id", "left_semi").select("id", "pos.*")
-    some = written(exploded(docs).join(places, ["doc_id", "line_no", "id"], "left_semi").select("id", "line", F.struct("doc_id", "line_no").alias("pos")).dropDuplicates(["id"]), "lines")
-    left = some
-    for parts in ROUNDS[1:]:
-        v = _variants(left, parts)
-        v = v.join(_met(v.select("id", "key")), "key", "left_semi")
-        left = v.select("id", "line").dropDuplicates(["id"])
-    at = v.select("id", F.explode(F.sequence(F.col("lo") + 1, F.greatest(F.col("lo") + 1, F.length("line") - F.col("hi")))).alias("i")).distinct()
-    line = some.join(at.select("id").distinct(), "id", "left_semi")
-    none = line.select("id", "line", "pos", F.lit(0).alias("i"), _hash(F.col("line")).alias("key"))
-    one = at.join(line, "id").where("i <= length(line)").select("id", "line", "pos", "i", _hash(F.expr("concat(substring(line, 1, i - 1), substring(line, i + 1))")).alias("key"))
+    """(a, b) of the distinct lines near to an earlier, different line. firsts: those of ``first_places``."""
+    halves = _halves(docs)
+    few = halves.join(_met(halves, "a"), "key", "left_semi").select("a").distinct()
+    places = written(firsts.join(few, "a", "left_semi"), "places")
+    small = places.count() <= BROADCAST_ROWS
+    at = (F.broadcast(places) if small else places).select("pos", F.struct("a", "b").alias("id"))
+    some = written(exploded(docs).join(at, "pos").select("id", "line", "pos").where(F.col("id") == _hash(F.col("line"))).dropDuplicates(["id"]), "lines")
+    hits = lambda v: v.join(_met(v, "id"), "key", "left_semi")
+    # lines that may be near are told apart by the shorter's length, so both take part in the same round
+    left = written(hits(_variants(some, ROUNDS[1])), "stretches")
+    long = some.join(left.where(F.col("m") > LONG).select("id").distinct(), "id", "left_semi")
+    left = left.where(F.col("m") <= LONG).unionByName(hits(_variants(long, ROUNDS[2]).where(F.col("m") > LONG)))
+    cut = written(left.select("id", F.explode(F.sequence(F.col("lo") + 1, F.greatest(F.col("lo") + 1, F.col("n") - F.col("hi")))).alias("i")).distinct(), "cuts")
+    line = some.join(cut.select("id").distinct(), "id", "left_semi")
+    none = line.select("id", "pos", F.lit(0).alias("i"), _hash(F.col("line")).alias("key"))
+    one = cut.join(line, "id").where("i <= length(line)").select("id", "pos", "i", _hash(F.expr("concat(substring(line, 1, i - 1), substring(line, i + 1))")).alias("key"))
     every = written(none.unionByName(one), "variants")
-    earliest = F.min(F.struct("pos", "line")).alias("first")
+    earliest = F.min(F.struct("pos", "id")).alias("first")
     # replaced: the same variant at the same place
     swap = every.where("i > 0").join(every.where("i > 0").groupBy("key", "i").agg(earliest), ["key", "i"])
     # inserted: the whole shorter line is a longer one's variant; either can be the earlier
     whole = every.where("i = 0")
-    longer = every.where("i > 0").join(whole.select("key", F.struct("pos", "line").alias("first")), "key")
+    longer = every.where("i > 0").join(whole.select("key", F.struct("pos", "id").alias("first")), "key")
     shorter = whole.join(every.where("i > 0").groupBy("key").agg(earliest), "key")
-    found = [x.where("first.pos < pos").where(F.levenshtein(F.col("line"), F.col("first.line"), 1).between(0, 1)).select("id") for x in (swap, longer, shorter)]
-    return found[0].unionByName(found[1]).unionByName(found[2]).distinct()
+    found = [x.where("first.pos < pos").select("id", F.col("first.id").alias("first")) for x in (swap, longer, shorter)]
+    found = found[0].unionByName(found[1]).unionByName(found[2]).distinct()
+    texts = line.select("id", "line")
+    both = found.join(texts, "id").join(texts.select(F.col("id").alias("first"), F.col("line").alias("earlier")), "first")
+    return both.where(F.levenshtein("line", "earlier", 1).between(0, 1)).select("id.*").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -107,15 +135,18 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     are. Of rows that repeat a doc_id, the same line at the same place counts as one.
     Other columns pass through; columns named as the two added ones are replaced.
     """
-    firsts = written(exploded(docs).groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("pos")), "firsts")
+    firsts = written(first_places(docs), "firsts")
     gone = shadowed(docs, firsts)
-    kept = firsts.join(gone, "id", "left_anti").groupBy(F.col("pos.doc_id").alias("__doc")).agg(F.collect_list(F.struct(F.col("pos.line_no").alias("n"), F.col("id.a").alias("a"))).alias("__kept"))
+    doc = F.floor(F.col("pos") / F.lit(_SHIFT).cast("decimal(10,0)"))
+    place = F.struct((F.col("pos") - doc * F.lit(_SHIFT).cast("decimal(10,0)")).cast("int").alias("n"), F.col("a"))
+    kept = firsts.join(gone, ["a", "b"], "left_anti").select(doc.cast("long").alias("__doc"), place.alias("p")).groupBy("__doc").agg(F.collect_list("p").alias("__kept"))
     rows = docs.drop("lines_before", "lines_dropped").withColumn("__doc", F.col("doc_id").cast("long")).join(kept, "__doc", "left")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
     stays = lambda x, i: ~counts(x) | F.coalesce(F.array_contains(F.col("__kept"), F.struct(i.alias("n"), F.xxhash64(x).alias("a"))), F.lit(False))
     left = F.when(F.col("doc_id").isNull(), lines).otherwise(F.filter(lines, stays))
-    rows = rows.withColumn("__left", left).withColumn("lines_before", F.coalesce(F.size(lines), F.lit(0))).withColumn("lines_dropped", F.coalesce(F.col("lines_before") - F.size("__left"), F.lit(0)))
-    rows = rows.withColumn("lines_before", F.when(F.col("text").isNull(), 0).otherwise(F.col("lines_before"))).withColumn("lines_dropped", F.when(F.col("text").isNull(), 0).otherwise(F.col("lines_dropped")))
+    rows = rows.withColumn("__left", left)
+    none = F.col("text").isNull()
+    rows = rows.withColumn("lines_before", F.when(none, 0).otherwise(F.size(lines))).withColumn("lines_dropped", F.when(none, 0).otherwise(F.size(lines) - F.size("__left")))
     return rows.withColumn("text", F.array_join("__left", "\n")).drop("__doc", "__kept", "__left")
 
 
