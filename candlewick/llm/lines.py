@@ -55,18 +55,18 @@ def exploded(docs: DataFrame) -> DataFrame:
 
 
 def first_places(docs: DataFrame) -> DataFrame:
-    """(a, b, pos): of each distinct line, by its hash, the earliest place."""
-    return exploded(docs).select(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(0x5BD1E995), "line").alias("b"), "pos").groupBy("a", "b").agg(F.min("pos").alias("pos"))
+    """(a, b, pos, k0 to k3): of each distinct line, by its hash, the earliest place and the variants of round 1.
 
-
-def _halves(docs: DataFrame) -> DataFrame:
-    """(key, a): each line with either half deleted, for lines of its length and of one character less or more."""
+    Those are the line with either half deleted, for lines of its length and of one
+    character less or more. They follow from the line, so any row's will do.
+    """
     n = F.length("line")
     keys = []
     for m in (n, n - 1):
         h = F.floor(m / 2).cast("int")
         keys += [F.xxhash64(m, F.lit(0), F.substring("line", F.lit(1), h)), F.xxhash64(m, F.lit(1), F.substring("line", n - m + h + 1, m - h))]
-    return exploded(docs).select(F.xxhash64("line").alias("a"), F.explode(F.array(*keys)).alias("key"))
+    rows = exploded(docs).select(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(0x5BD1E995), "line").alias("b"), "pos", *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    return rows.groupBy("a", "b").agg(F.min("pos").alias("pos"), *[F.min(f"k{i}").alias(f"k{i}") for i in range(4)])
 
 
 def _stretches(parts: int) -> Column:
@@ -94,9 +94,9 @@ def _met(variants: DataFrame, line: str) -> DataFrame:
 
 def shadowed(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """(a, b) of the distinct lines near to an earlier, different line. firsts: those of ``first_places``."""
-    halves = _halves(docs)
+    halves = firsts.select("a", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"))
     few = halves.join(_met(halves, "a"), "key", "left_semi").select("a").distinct()
-    places = written(firsts.join(few, "a", "left_semi"), "places")
+    places = written(firsts.join(few, "a", "left_semi").select("a", "b", "pos"), "places")
     small = places.count() <= BROADCAST_ROWS
     at = (F.broadcast(places) if small else places).select("pos", F.struct("a", "b").alias("id"))
     some = written(exploded(docs).join(at, "pos").select("id", "line", "pos").where(F.col("id") == _hash(F.col("line"))).dropDuplicates(["id"]), "lines")
