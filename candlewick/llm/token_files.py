@@ -68,7 +68,7 @@ def train_dictionary(samples: list[bytes]) -> bytes:
 
 
 class ShardWriter:
-    """Frames go out as they come; only the index is held until ``close``."""
+    """Frames go out a megabyte at a time; only the index is held until ``close``."""
 
     def __init__(self, uri: str, dictionary: bytes, dtype: np.dtype):
         import zstandard
@@ -82,14 +82,24 @@ class ShardWriter:
         self.out.write(MAGIC + struct.pack("<I", len(head)) + head)
         self.at = len(MAGIC) + 4 + len(head)
         self.rows: list[tuple[int, bool, int, int]] = []
+        self.held: list[bytes] = []
+        self.waiting = 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         frame = self.zip.compress(ids.astype(self.dtype).tobytes())
-        self.out.write(frame)
+        self.held.append(frame)
+        self.waiting += len(frame)
+        if self.waiting >= 1 << 20:
+            self._flush()
         self.rows.append((doc_id or 0, doc_id is None, len(ids), self.at))
         self.at += len(frame)
 
+    def _flush(self) -> None:
+        self.out.write(b"".join(self.held))
+        self.held, self.waiting = [], 0
+
     def close(self) -> tuple[int, int]:
+        self._flush()
         table = np.array(self.rows, np.int64).reshape(-1, 4)
         body = np.concatenate([table.T.ravel(), [self.at]]).astype("<i8").tobytes()
         self.out.write(body + struct.pack("<QQ", len(self.rows), self.at) + MAGIC)
@@ -134,8 +144,14 @@ class ShardReader:
         return self.ids(int(known[i])) if i < len(known) and self.doc_ids[known[i]] == doc_id else None
 
     def all(self) -> Iterator[np.ndarray]:
-        for i in range(len(self)):
-            yield self.ids(i)
+        """Of all documents in order, read some megabytes at a time."""
+        at, lo = self.offsets, 0
+        while lo < len(self):
+            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (4 << 20), "right")) - 1)
+            block = memoryview(self.file.read_at(int(at[hi] - at[lo]), int(at[lo])))
+            for i in range(lo, hi):
+                yield np.frombuffer(self.unzip.decompress(block[at[i] - at[lo] : at[i + 1] - at[lo]]), self.dtype).astype("<u4")
+            lo = hi
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None) -> tuple[str, DataFrame]:
@@ -163,11 +179,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
         shard, out = TaskContext.get().partitionId(), None
         for b in batches:
             ids = b["doc_id"].to_pylist()
-            for lo in range(0, len(ids), 1000):
-                texts = b["text"].slice(lo, 1000).to_pylist()
+            for lo in range(0, len(ids), 3000):
+                texts = b["text"].slice(lo, 3000).to_pylist()
                 if out is None:
                     out = ShardWriter(f"{path}/{SHARD % shard}", dictionary, e.dtype)
-                for d, x in zip(ids[lo : lo + 1000], e.documents(texts, end_id), strict=True):
+                for d, x in zip(ids[lo : lo + 3000], e.documents(texts, end_id), strict=True):
                     out.add(d, x)
         release()
         if out is not None:

@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks that a process keeps before it drops those that came once, about 120 MB.
-KEPT = 450_000
+#: Chunks that a process keeps before it drops those that came once, about 170 MB.
+KEPT = 700_000
 _encoders: dict[str, Encoder] = {}
 
 
@@ -127,7 +127,7 @@ class Encoder:
         ids, sizes, lo = [], [], 0
         while lo < len(texts):
             hi, chars = lo, 0
-            while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= 3_000_000):
+            while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= 12_000_000):
                 chars += len(texts[hi])
                 hi += 1
             part = texts[lo:hi]
