@@ -105,9 +105,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
 
         for b in batches:
             ids = b["doc_id"].to_pylist()
-            for lo in range(0, len(ids), 1000):
-                texts = b["text"].slice(lo, 1000).to_pylist()
-                for d, x in zip(ids[lo : lo + 1000], e.documents(texts, end_id), strict=True):
+            for lo in range(0, len(ids), 3000):
+                texts = b["text"].slice(lo, 3000).to_pylist()
+                for d, x in zip(ids[lo : lo + 3000], e.documents(texts, end_id), strict=True):
                     held.append(x.astype(e.dtype))
                     names.append(d)
                     n += len(x)
@@ -115,6 +115,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
                         yield block()
         if n:
             yield block()
+        e.forget()  # a worker that waits between tasks keeps frequent chunks only
         release()
 
     return rows.mapInArrow(work, SCHEMA)
