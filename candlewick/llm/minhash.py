@@ -4,9 +4,10 @@
    MinHashes. Texts of equal sets are one class; its smallest doc_id stands for it.
 2. The forest: tree t orders the signature from entry ``t * depth`` on, cyclically.
    Documents that share the first ``depth`` entries form a region. A region of over
-   ``REGION`` documents is told apart by 2 and then 4 times as many entries, and in the
-   end dealt at random; so depth adapts to each region and no task holds a crowd.
-   ``depth`` is the largest at which a pair at the threshold shares no region in 24
+   ``REGION`` documents, a crowd, is told apart by 2 and then 4 times as many entries, and
+   in the end dealt at random, which connects most of it cheaply. What a crowd holds is then
+   in one component, or it is cut into blocks and each pair of blocks is a task, so all its
+   pairs in different components meet; no task holds a crowd. ``depth`` is the largest at which a pair at the threshold shares no region in 24
    trees with a chance of less than 1e-5.
 3. In a region the documents stand in the order of their signatures. All pairs of a
    region (in a dealt one, of a block) whose signatures agree as a linked pair's could, five
@@ -15,7 +16,9 @@
    confirmed, the likeliest first, until no undecided pair is left. A class too large for
    a task is cut into blocks, and each pair of blocks is a task; no pair is left out.
 
-Memory in a task: one region or pair of blocks. Rows shuffled: in proportion to documents.
+Memory in a task: one region or pair of blocks. Rows shuffled: in proportion to documents;
+a crowd that stays in several components is shuffled once for each of its blocks, and its
+pairs grow as the square.
 Steps 1 to 3 find a linked pair with the chance above; step 4 is exact on what they find.
 """
 
@@ -34,6 +37,7 @@ from .words import mix, overlap, shingles
 TREES = 24
 MISS = 1e-5
 REGION = 512
+CROWD_BLOCK = 4096
 BLOCK_DOCS, BLOCK_BYTES = 4096, 32 << 20
 
 
@@ -119,12 +123,35 @@ def sketch(docs: DataFrame, size: int, depth: int) -> DataFrame:
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Share of equal entries for each pair of rows of a and b."""
     out = np.empty((len(a), len(b)), np.float32)
-    step = max(1, 4_000_000 // (b.shape[0] * b.shape[1]))
+    step = max(1, 262_144 // len(b))
+    columns = np.ascontiguousarray(b.T)
     for lo in range(0, len(a), step):
-        out[lo : lo + step] = (a[lo : lo + step, None, :] == b[None]).mean(2, dtype=np.float32)
+        rows = np.ascontiguousarray(a[lo : lo + step].T)
+        equal = np.zeros((rows.shape[1], len(b)), np.uint8 if len(columns) < 256 else np.uint16)
+        for x, y in zip(rows, columns, strict=True):
+            equal += x[:, None] == y[None]
+        out[lo : lo + step] = equal.astype(np.float32) / np.float32(len(columns))
     return out
 
 
+def crossing(sig: np.ndarray, own: Union, left: np.ndarray, right: np.ndarray, cut: float, step: int = REGION) -> list[tuple[int, int]]:
+    """Joins in ``own`` the rows of ``left`` and ``right`` that agree by ``cut``; gives the links. What is connected is not compared."""
+    found = []
+    for i in range(0, len(left), step):
+        for j in range(0, len(right), step):
+            a, b = left[i : i + step], right[j : j + step]
+            ra, rb = (np.fromiter((own.find(x) for x in r.tolist()), np.int64, len(r)) for r in (a, b))
+            # a row whose component is all of the other side has nothing to find there
+            if (rb == rb[0]).all():
+                a, ra = a[ra != rb[0]], ra[ra != rb[0]]
+            if len(a) and (ra == ra[0]).all():
+                b, rb = b[rb != ra[0]], rb[rb != ra[0]]
+            if len(a) and len(b):
+                x, y = np.nonzero((agreement(sig[a], sig[b]) >= cut) & (ra[:, None] != rb[None]))
+                found += [(p, q) for p, q in zip(a[x].tolist(), b[y].tolist(), strict=True) if own.join(p, q)]
+    return found
+
+
 def forest(reps: DataFrame, cut: float) -> DataFrame:
     """Coarse links (u, v) between class representatives (doc_id, sig, k1, k2, k4)."""
     tree = reps.select("doc_id", F.posexplode(F.arrays_zip("k1", "k2", "k4")).alias("tree", "k")).select("doc_id", "k.k1", "k.k2", "k.k4")
@@ -159,7 +186,31 @@ def forest(reps: DataFrame, cut: float) -> DataFrame:
                     found[1].append(ids[j])
         return pd.DataFrame({"u": np.minimum(*map(np.array, found)), "v": np.maximum(*map(np.array, found))}) if found[0] else None
 
-    return by_group(rows, ["region"], ["sig"], links, "u long, v long").distinct()
+    near = by_group(rows, ["region"], ["sig"], links, "u long, v long").distinct()
+    crowds = written(shared.where(F.col("c1") > REGION).select("doc_id", F.col("k1").alias("region"), F.ceil(F.col("c1") / CROWD_BLOCK).cast("int").alias("blocks")), "crowds")
+    if crowds.isEmpty():
+        return near
+    near = written(near, "links")
+    own = components(near, "crowded").withColumnRenamed("node", "doc_id")
+    crowds = crowds.join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    apart = crowds.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
+    crowds = crowds.join(apart, "region", "left_semi").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    crowds = crowds.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    crowds = crowds.select("region", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "doc_id", "component")
+
+    def across(g: pd.DataFrame) -> pd.DataFrame | None:
+        ids, block = g["doc_id"].to_numpy(), g["block"].to_numpy()
+        sig = np.frombuffer(b"".join(g["sig"]), "<u2").reshape(len(g), -1)
+        own = Union(len(g))
+        first = g.groupby("component").cumcount().to_numpy() == 0
+        at = dict(zip(g["component"].to_numpy()[first].tolist(), np.flatnonzero(first).tolist(), strict=True))
+        for i, c in enumerate(g["component"].tolist()):
+            own.join(i, at[c])
+        found = crossing(sig, own, np.flatnonzero(block == g["b1"].iloc[0]), np.flatnonzero(block == g["b2"].iloc[0]), cut)
+        return pd.DataFrame(np.sort(ids[np.array(found)], 1), columns=["u", "v"]) if found else None
+
+    more = by_group(crowds.join(reps.select("doc_id", "sig"), "doc_id"), ["region", "b1", "b2"], ["sig"], across, "u long, v long")
+    return near.unionByName(more).distinct()
 
 
 def confirm(docs: DataFrame, coarse: DataFrame, reps: DataFrame, size: int, percent: int, cut: float) -> DataFrame:

@@ -90,6 +90,19 @@ def test_near_copies_of_a_crowd(spark):
     assert got == want
 
 
+def test_linked_pairs_within_a_crowd(spark, monkeypatch):
+    """Documents that share every tree's region and nothing deeper; each tenth agrees with the next as a linked pair may."""
+    monkeypatch.setattr(minhash, "CROWD_BLOCK", 150, raising=False)
+    g = np.random.default_rng(5)
+    sig = g.integers(0, 1 << 16, (700, 120), dtype=np.uint16)
+    sig[:, :40] = sig[0, :40]
+    sig[1::10, 40:100] = sig[::10, 40:100]
+    deeper = g.integers(0, 1 << 62, (700, 2, minhash.TREES)).tolist()
+    rows = [(i, sig[i].tobytes(), list(range(minhash.TREES)), *deeper[i]) for i in range(700)]
+    reps = spark.createDataFrame(rows, "doc_id long, sig binary, k1 array<long>, k2 array<long>, k4 array<long>")
+    assert {(x.u, x.v) for x in minhash.forest(reps, 0.69).collect()} == {(i, i + 1) for i in range(0, 700, 10)}
+
+
 def test_cover_tree_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(cover_tree, "BLOCK", 150)
     g = np.random.default_rng(1)
