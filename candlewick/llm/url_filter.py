@@ -6,6 +6,7 @@ links; distrust from the blocked seeds goes against them, to hosts that link the
 host with more distrust than trust is blocked. Edges are the links in pages' html with a
 host of their own, weighted by number, links within a host aside. All in DataFrame
 functions; a round is a join and an aggregate over edges, written to the shared folder.
+Rounds go on until every host that links lead to has a mass and none still changes.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 from .shared import remove, written
 
 DAMPING = 0.85
+#: Rounds of the SQL, which can't stop by itself; the operator has no limit.
 ROUNDS = 12
-CONVERGED = 1e-9
+#: Largest change of a mass in a round, as a share of that mass, at which it is settled.
+CONVERGED = 1e-6
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
@@ -58,17 +61,20 @@ def spread(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """Personalised PageRank: (host, mass) along (u, v, n) from (host, seed), whose sum is 1.
 
     What a host without links holds is lost rather than dealt to the seeds again, so a
-    mass is comparable between the two directions.
+    mass is comparable between the two directions. There are as many rounds as the
+    farthest host is links away, and in cycles up to about 90 (DAMPING ** 85 is 1e-6).
     """
     spark = links.sparkSession
     out = links.groupBy("u").agg(F.sum("n").alias("total"))
     share = written(links.join(out, "u").select("u", "v", (F.col("n") / F.col("total")).alias("p")), "links")
     now = written(seeds.select("host", ((1 - DAMPING) * F.col("seed")).alias("mass")), "mass")
     base = now
-    for _ in range(ROUNDS):
+    while True:
         moved = share.join(now.withColumnRenamed("host", "u"), "u").groupBy(F.col("v").alias("host")).agg((DAMPING * F.sum(F.col("p") * F.col("mass"))).alias("mass"))
         after = written(moved.unionByName(base).groupBy("host").agg(F.sum("mass").alias("mass")), "mass")
-        change = after.join(now.withColumnRenamed("mass", "old"), "host", "full").agg(F.max(F.abs(F.coalesce("mass", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
+        # relative to each host's own mass, so it is the same for one seed and for millions; a host just reached counts as 1
+        old = now.withColumnRenamed("mass", "old")
+        change = after.where("mass > 0").join(old, "host", "left").agg(F.max(F.abs(F.col("mass") - F.coalesce("old", F.lit(0.0))) / F.col("mass"))).first()[0]
         if now is not base:
             remove(spark, now)
         now = after

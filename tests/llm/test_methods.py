@@ -352,6 +352,16 @@ def test_trust_over_links(spark):
     assert got == want
 
 
+def test_distrust_over_a_long_chain(spark):
+    """Each host links to the next, the last to a blocked one; other blocked hosts, of which each has little mass."""
+    a = lambda h: f'<a href="https://{h}/p">x</a>'
+    rows = [(i, f"http://h{i}.org/", a(f"h{i + 1}.org" if i < 17 else "bad.net")) for i in range(18)]
+    rows += [(100, "http://bad.net/es/", "")] + [(200 + i, f"http://b{i}.net/es/", "") for i in range(300)] + [(99, "http://alone.org/", a("else.org"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: r.verdict for r in url_filter.judge(df, registry.RULES).collect()}
+    assert all(got[f"h{i}.org"] == "block" for i in range(18)) and got["alone.org"] == "allow"
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
