@@ -11,33 +11,55 @@ from candlewick.llm import decontamination, lines, minhash, packing, quality, re
 from candlewick.llm.shared import read, written
 
 
-def _keep(docs: DataFrame, judged: DataFrame, kept: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id has a kept row in ``judged``; a row without doc_id stays."""
-    good = judged.where(f"{kept} and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
-    rows = docs.withColumn("__key", F.col("doc_id").cast("long"))
-    named = rows.where("__key is not null").join(good, F.col("__key") == F.col("__kept_id"), "left_semi")
-    return named.unionByName(rows.where("__key is null")).select(*docs.columns)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for each row, ``__row``, in the order of doc_id, rows without one last.
+
+    Where doc_ids are all there and differ, they serve; else the numbered rows are written,
+    so that the numbers stay the same.
+    """
+    own = F.col("doc_id").cast("long")
+    if docs.groupBy(own.alias("id")).count().where("id is null or count > 1").isEmpty():
+        return docs.withColumn("__row", own)
+    return written(docs.orderBy(own.asc_nulls_last(), F.xxhash64("text")).withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """For operators that go by doc_id: the row's number stands for it, as doc_ids may be null or repeat."""
+    return rows.withColumn("doc_id", F.col("__row"))
+
+
+def _keep(rows: DataFrame, judged: DataFrame, kept: str) -> DataFrame:
+    """The rows whose own verdict in ``judged``, of ``_by_row(rows)``, is to be kept."""
+    good = judged.where(kept).select(F.col("doc_id").alias("__kept_row"))
+    return rows.join(good, F.col("__row") == F.col("__kept_row"), "left_semi").drop("__row")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keep(docs, quality.score_documents(docs, quality.fit(docs)), "kept")
+    rows = _keyed(docs)
+    return _keep(rows, quality.score_documents(_by_row(rows), quality.fit(docs)), "kept")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops repeated lines, and a document that loses its last words with them."""
-    out = lines.dedup_lines(docs)
+    """Drops repeated lines, and a document that loses its last words with them.
+
+    The earliest line is that of the least doc_id; rows without one come last.
+    """
+    rows = _keyed(docs)
+    out = lines.dedup_lines(_by_row(rows.withColumn("__id", F.col("doc_id")))).withColumn("doc_id", F.col("__id"))
     emptied = (F.col("lines_dropped") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     return out.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the least doc_id, of each group of near duplicates."""
-    return _keep(docs, minhash.near_duplicates(docs, size=5, percent=80), "kept")
+    """Keeps one row, that of the least doc_id, of each group of near duplicates; one without doc_id only where no other is."""
+    rows = _keyed(docs)
+    return _keep(rows, minhash.near_duplicates(_by_row(rows), size=5, percent=80), "kept")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    return _keep(docs, decontamination.contamination(docs, read(spark, sf_dir, "benchmark")), "not contaminated")
+    rows = _keyed(docs)
+    return _keep(rows, decontamination.contamination(_by_row(rows), read(spark, sf_dir, "benchmark")), "not contaminated")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

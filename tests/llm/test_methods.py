@@ -385,3 +385,24 @@ def test_pipeline_stages(spark):
     good = {r.doc_id for r in table(spark, "labels").where("quality = 1").collect()}
     scored = {r.doc_id for r in cp.quality_stage(spark, docs, SF).collect()}
     assert len(good & scored) > 0.97 * len(good)
+
+
+def test_pipeline_judges_each_row(spark, monkeypatch):
+    """Rows that repeat a doc_id, or lack one, get no other row's verdict."""
+    import corpus_pipeline as cp
+
+    docs = table(spark, "documents")
+    scorer = quality.fit(docs)
+    monkeypatch.setattr(quality, "fit", lambda _: scorer)
+    verdict = quality.score_documents(docs, scorer).where("doc_id is not null").toPandas().set_index("doc_id")["kept"]
+    text = {r.doc_id: r.text for r in docs.collect()}
+    good, junk = (next(i for i, k in verdict.items() if k == x and text[i] and len(text[i].split()) > 3) for x in (True, False))
+    item = next(r.text for r in table(spark, "benchmark").collect())
+    line = "one line of more than sixteen characters, with some more words in it"
+    make = lambda *rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = lambda stage, *rows: sorted(((r.doc_id, r.text) for r in stage(spark, make(*rows), SF).collect()), key=str)
+    a, b = text[good], text[junk]
+    assert out(cp.quality_stage, (1, a), (1, b), (None, b), (None, a)) == sorted([(1, a), (None, a)], key=str)
+    assert out(cp.line_stage, (5, line), (5, line), (None, line), (2, line), (None, "short")) == [(2, line), (None, "short")]
+    assert out(cp.near_duplicate_stage, (None, a), (7, a), (7, a), (3, line), (3, a), (None, item), (None, item)) == sorted([(3, a), (3, line), (None, item)], key=str)
+    assert out(cp.decontamination_stage, (1, line), (1, item), (None, item), (None, line)) == sorted([(1, line), (None, line)], key=str)
