@@ -2,24 +2,27 @@
 
 1. Each text gets its shingle set, a fingerprint of the whole set and ``24 * depth``
    MinHashes. Texts of equal sets are one class; its smallest doc_id stands for it.
-2. The forest: tree t orders the signature from entry ``t * depth`` on, cyclically.
-   Documents that share the first ``depth`` entries form a region. A region of over
-   ``REGION`` documents, a crowd, is told apart by 2 and then 4 times as many entries, and
-   in the end dealt at random, which connects most of it cheaply. What a crowd holds is then
-   in one component, or it is cut into blocks and each pair of blocks is a task, so all its
-   pairs in different components meet; no task holds a crowd. ``depth`` is the largest at which a pair at the threshold shares no region in 24
-   trees with a chance of less than 1e-5.
-3. In a region the documents stand in the order of their signatures. All pairs of a
-   region (in a dealt one, of a block) whose signatures agree as a linked pair's could, five
-   standard deviations aside, join a coarse class; only a spanning forest goes out.
-4. Each coarse class gets its full shingle sets once. Pairs in different components are
-   confirmed, the likeliest first, until no undecided pair is left. A class too large for
-   a task is cut into blocks, and each pair of blocks is a task; no pair is left out.
-
-Memory in a task: one region or pair of blocks. Rows shuffled: in proportion to documents;
-a crowd that stays in several components is shuffled once for each of its blocks, and its
-pairs grow as the square.
-Steps 1 to 3 find a linked pair with the chance above; step 4 is exact on what they find.
+2. The forest: tree t orders the signature from entry ``t * depth`` on, cyclically. All
+   documents are sorted in each tree's order, by ranges, so that a long run of equal
+   prefixes is spread over tasks; one walk along the order finds where prefixes part.
+   Neighbours that share the first ``depth`` entries form a region. ``depth`` is the largest
+   at which a pair at the threshold shares no region in 24 trees with a chance of less than 1e-5.
+3. The candidates. In a region of up to ``REGION`` documents, all of them. In a larger one, a
+   crowd, the depth adapts: each document meets its longest-common-prefix neighbours, the
+   ``REGION / 2`` before and after it at least, which connects most of the crowd cheaply.
+   What is then still in different components meets too: the crowd is cut along its order into
+   blocks, and each pair of blocks is a task. So no task holds a crowd, and no pair is left out.
+   Candidates whose signatures agree as a linked pair's could, five standard deviations
+   aside, join a coarse class; only a spanning forest goes out.
+4. Each coarse class gets its full shingle sets once. Candidates in different components are
+   confirmed, the likeliest first, until none is undecided. A class too large for
+   a task is cut into blocks, and each pair of blocks is a task.
+
+Memory in a task: a range of an order, a region or a pair of blocks. Rows shuffled: in
+proportion to documents; a crowd that stays in several components is shuffled once for each
+of its blocks, and its pairs grow as the square.
+Steps 1 to 3 lose a linked pair with the chance above, or where its signatures agree by five
+standard deviations too little (a chance of 3e-7); step 4 is exact on what they find.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Union, by_group, components, parts, release, written
@@ -38,6 +42,8 @@ TREES = 24
 MISS = 1e-5
 REGION = 512
 CROWD_BLOCK = 4096
+#: Classes of equal sets that are broadcast, at most.
+LARGEST = 2000
 BLOCK_DOCS, BLOCK_BYTES = 4096, 32 << 20
 
 
@@ -71,22 +77,33 @@ def signatures(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-def keys(sig: np.ndarray, depth: int) -> list[np.ndarray]:
-    """For 1, 2 and 4 times ``depth`` the keys (documents, trees) of the first entries in each tree's order."""
+def keys(sig: np.ndarray, depth: int) -> np.ndarray:
+    """Of each document and tree a hash of the first ``depth`` entries in the tree's order."""
     n = sig.shape[1]
-    at = (np.arange(TREES)[:, None] * depth + np.arange(4 * depth)) % n
+    at = (np.arange(TREES)[:, None] * depth + np.arange(depth)) % n
     x = np.broadcast_to(np.arange(1, TREES + 1, dtype=np.uint64), (len(sig), TREES)).copy()
-    out = []
     with np.errstate(over="ignore"):
-        for j in range(4 * depth):
+        for j in range(depth):
             x = mix(x * np.uint64(0xE7037ED1A0B428DB) + sig[:, at[:, j]])
-            if j + 1 in (depth, 2 * depth, 4 * depth):
-                out.append(x.view(np.int64))
+    return x.view(np.int64)
+
+
+def prints(sets: list[np.ndarray]) -> np.ndarray:
+    """Two 64-bit fingerprints (2, sets) of each whole set; 0 of an empty one."""
+    count = np.array([len(s) for s in sets], np.int64)
+    full = np.flatnonzero(count)
+    out = np.zeros((2, len(sets)), np.int64)
+    if len(full):
+        at = np.concatenate([[0], np.cumsum(count[full])[:-1]])
+        x = np.concatenate([sets[i] for i in full])
+        with np.errstate(over="ignore"):
+            out[0, full] = np.add.reduceat(mix(x + np.uint64(11)), at).view(np.int64)
+            out[1, full] = np.bitwise_xor.reduceat(mix(x + np.uint64(17)), at).view(np.int64)
     return out
 
 
 def sketch(docs: DataFrame, size: int, depth: int) -> DataFrame:
-    """Of each row with a doc_id: shingle count, two 64-bit fingerprints of the set, signature (16 bits an entry), region keys of each tree."""
+    """Of each row with a doc_id: shingle count, fingerprints of the set, signature (16 bits an entry; low bytes alone too), region keys of each tree."""
     n = TREES * depth
 
     def work(batches):
@@ -95,29 +112,33 @@ def sketch(docs: DataFrame, size: int, depth: int) -> DataFrame:
             for lo, hi in parts(texts):
                 p = b.iloc[lo:hi]
                 sets = shingles(texts[lo:hi], size)
-                count = np.array([len(s) for s in sets], np.int64)
-                full = np.flatnonzero(count)
-                fps = np.zeros((2, len(p)), np.int64)
-                sig, ks = [b""] * len(p), [[[]] * len(p) for _ in range(3)]
-                if len(full):
-                    own = [sets[i] for i in full]
-                    at = np.concatenate([[0], np.cumsum(count[full])[:-1]])
-                    x = np.concatenate(own)
-                    with np.errstate(over="ignore"):
-                        fps[0, full] = np.add.reduceat(mix(x + np.uint64(11)), at).view(np.int64)
-                        fps[1, full] = np.bitwise_xor.reduceat(mix(x + np.uint64(17)), at).view(np.int64)
-                    m = signatures(own, n)
+                full = [i for i, s in enumerate(sets) if len(s)]
+                fps = prints(sets)
+                sig, low, ks = [b""] * len(p), [b""] * len(p), [[]] * len(p)
+                if full:
+                    m = signatures([sets[i] for i in full], n)
                     short = (m & 0xFFFF).astype("<u2")
-                    deep = keys(m, depth)
-                    for j, i in enumerate(full):
-                        sig[i] = short[j].tobytes()
-                        for k in range(3):
-                            ks[k][i] = deep[k][j]
-                yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(np.int64), "n": count, "fp1": fps[0], "fp2": fps[1], "sig": sig, "k1": ks[0], "k2": ks[1], "k4": ks[2]})
+                    last = (m & 0xFF).astype(np.uint8)
+                    for j, (i, k) in enumerate(zip(full, keys(m, depth), strict=True)):
+                        sig[i], low[i], ks[i] = short[j].tobytes(), last[j].tobytes(), k
+                yield pd.DataFrame({"doc_id": p["doc_id"].to_numpy(np.int64), "n": [len(s) for s in sets], "fp1": fps[0], "fp2": fps[1], "sig": sig, "low": low, "regions": ks})
         release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    return rows.mapInPandas(work, "doc_id long, n long, fp1 long, fp2 long, sig binary, k1 array<long>, k2 array<long>, k4 array<long>")
+    return rows.mapInPandas(work, "doc_id long, n long, fp1 long, fp2 long, sig binary, low binary, regions array<long>")
+
+
+def without_id(docs: DataFrame, size: int) -> DataFrame:
+    """Result rows of the rows that lack a doc_id."""
+
+    def work(batches):
+        for b in batches:
+            texts = [x if isinstance(x, str) else None for x in b["text"]]
+            for lo, hi in parts(texts):
+                yield pd.DataFrame({"n_shingles": [len(s) for s in shingles(texts[lo:hi], size)]})
+
+    n = docs.where("doc_id is null").select(F.col("text").cast("string").alias("text")).mapInPandas(work, "n_shingles long")
+    return n.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
 
 
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -140,7 +161,8 @@ def crossing(sig: np.ndarray, own: Union, left: np.ndarray, right: np.ndarray, c
     for i in range(0, len(left), step):
         for j in range(0, len(right), step):
             a, b = left[i : i + step], right[j : j + step]
-            ra, rb = (np.fromiter((own.find(x) for x in r.tolist()), np.int64, len(r)) for r in (a, b))
+            roots = own.roots()
+            ra, rb = roots[a], roots[b]
             # a row whose component is all of the other side has nothing to find there
             if (rb == rb[0]).all():
                 a, ra = a[ra != rb[0]], ra[ra != rb[0]]
@@ -152,23 +174,64 @@ def crossing(sig: np.ndarray, own: Union, left: np.ndarray, right: np.ndarray, c
     return found
 
 
-def forest(reps: DataFrame, cut: float) -> DataFrame:
-    """Coarse links (u, v) between class representatives (doc_id, sig, k1, k2, k4)."""
-    tree = reps.select("doc_id", F.posexplode(F.arrays_zip("k1", "k2", "k4")).alias("tree", "k")).select("doc_id", "k.k1", "k.k2", "k.k4")
-    counts = tree.groupBy("k1").agg(F.count("*").alias("c1")).where("c1 > 1")
-    shared = tree.join(counts, "k1")
-    # where a region is a crowd, what it holds is told apart further; only crowds take part in the later joins
-    fine = shared.where(F.col("c1") <= REGION).select("doc_id", F.col("k1").alias("region"))
-    crowd = shared.where(F.col("c1") > REGION)
-    c2 = crowd.groupBy("k2").agg(F.count("*").alias("c2"))
-    crowd = crowd.join(c2.where("c2 > 1"), "k2")
-    fine2 = crowd.where(F.col("c2") <= REGION).select("doc_id", F.col("k2").alias("region"))
-    deep = crowd.where(F.col("c2") > REGION)
-    c4 = deep.groupBy("k4").agg(F.count("*").alias("c4"))
-    # a crowd at the last depth is dealt twice, by different hashes: its parts meet in each other's
-    part = lambda salt: F.xxhash64("k4", F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.ceil(F.col("c4") / REGION)))
-    dealt = deep.join(c4.where("c4 > 1"), "k4").select("doc_id", F.explode(F.array(part(1), part(2))).alias("region"))
-    rows = fine.unionByName(fine2).unionByName(dealt).distinct().join(reps.select("doc_id", "sig"), "doc_id")
+def walk(batches):
+    """Along a range of the trees' orders: the rows of each region, with their place in it and the groups in which they meet.
+
+    A region of up to REGION rows is one group; in a larger one the groups are windows of
+    REGION rows, and as many half a window further. A region at the range's edge may go on beyond.
+    """
+    own = np.uint64(TaskContext.get().partitionId() + 1)
+
+    def out(held: list[pd.DataFrame], begins: bool, ends: bool) -> pd.DataFrame:
+        g = held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+        key = g["region"].to_numpy()
+        start = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+        size = np.diff(np.append(start, len(key)))
+        edge = np.zeros(len(start), bool)
+        edge[0] |= begins
+        edge[-1] |= ends
+        keep = np.repeat((size > 1) | edge, size)
+        place = (np.arange(len(key)) - np.repeat(start, size))[keep]
+        size, edge, key = np.repeat(size, size)[keep], np.repeat(edge, size)[keep], key[keep]
+        crowd = size > REGION
+        with np.errstate(over="ignore"):
+            window = lambda shift: mix(mix(key.view(np.uint64) + own) + ((place + shift) // REGION * 2 + (shift > 0)).astype(np.uint64)).view(np.int64)
+            meet, again = np.where(crowd, window(0), key), window(REGION // 2)
+        return pd.DataFrame({"region": key, "doc_id": g["doc_id"].to_numpy()[keep], "task": int(own), "place": place, "edge": edge, "crowd": crowd, "meet": meet, "again": pd.Series(again, dtype="Int64").where(crowd)})
+
+    held: list[pd.DataFrame] = []
+    begins = True
+    for b in batches:
+        if not len(b):
+            continue
+        key = b["region"].to_numpy()
+        change = np.flatnonzero(np.diff(key))
+        if held and held[-1]["region"].iloc[-1] == key[0] and not len(change):
+            held.append(b)
+            continue
+        last = int(change[-1]) + 1 if len(change) else 0
+        if held or last:
+            yield out([*held, b.iloc[:last]], begins, False)
+            begins = False
+        held = [b.iloc[last:]]
+    if held:
+        yield out(held, begins, True)
+    release()
+
+
+def forest(reps: DataFrame, cut: float, depth: int) -> DataFrame:
+    """Coarse links (u, v) between class representatives (doc_id, sig, low, regions)."""
+    n = TREES * depth
+    tree = reps.select("doc_id", F.concat("low", "low").alias("low"), F.posexplode("regions").alias("tree", "region"))
+    # within a region by the entries after the first depth; by region and these a tree's order is total but for equal signatures
+    further = F.substring("low", (F.col("tree") + 1) * depth % n + 1, F.lit(min(3 * depth, n)))
+    order = tree.select("region", further.alias("further"), "doc_id").repartitionByRange("region", "further", "doc_id").sortWithinPartitions("region", "further", "doc_id")
+    walked = written(order.select("region", "doc_id").mapInPandas(walk, "region long, doc_id long, task int, place long, edge boolean, crowd boolean, meet long, again long"), "walked")
+    # regions that go over a range's edge, two a task at most
+    split = walked.where("edge").groupBy("region").agg(F.count("*").alias("n")).where(F.col("n") > REGION).select("region", F.lit(True).alias("split"))
+    walked = walked.join(F.broadcast(split), "region", "left").withColumn("large", F.coalesce("split", F.lit(False)) | F.col("crowd"))
+    group = F.when(F.col("crowd"), F.array("meet", "again")).when(F.col("large"), F.array(F.xxhash64("region", "task"))).otherwise(F.array("region"))
+    rows = walked.select("doc_id", F.explode(group).alias("region")).join(reps.select("doc_id", "sig"), "doc_id")
 
     def links(g: pd.DataFrame) -> pd.DataFrame | None:
         if len(g) < 2:
@@ -177,25 +240,27 @@ def forest(reps: DataFrame, cut: float) -> DataFrame:
         sig = np.frombuffer(b"".join(g["sig"]), "<u2").reshape(len(g), -1)
         found = [], []
         own = Union(len(g))
-        for lo in range(0, len(g), 2 * REGION):  # dealt crowds may exceed REGION somewhat
-            s = sig[lo : lo + 2 * REGION]
-            a, b = np.nonzero(np.triu(agreement(s, s) >= cut, 1))
-            for i, j in zip((a + lo).tolist(), (b + lo).tolist(), strict=True):
-                if own.join(i, j):
-                    found[0].append(ids[i])
-                    found[1].append(ids[j])
+        a, b = np.nonzero(np.triu(agreement(sig, sig) >= cut, 1))
+        for i, j in zip(a.tolist(), b.tolist(), strict=True):
+            if own.join(i, j):
+                found[0].append(ids[i])
+                found[1].append(ids[j])
         return pd.DataFrame({"u": np.minimum(*map(np.array, found)), "v": np.maximum(*map(np.array, found))}) if found[0] else None
 
     near = by_group(rows, ["region"], ["sig"], links, "u long, v long").distinct()
-    crowds = written(shared.where(F.col("c1") > REGION).select("doc_id", F.col("k1").alias("region"), F.ceil(F.col("c1") / CROWD_BLOCK).cast("int").alias("blocks")), "crowds")
+    crowds = walked.where("large")
     if crowds.isEmpty():
         return near
     near = written(near, "links")
     own = components(near, "crowded").withColumnRenamed("node", "doc_id")
-    crowds = crowds.join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    # a row's place in the whole region, from the sizes of its parts: a row for each task
+    sizes = crowds.groupBy("region", "task").agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("region")
+    sizes = sizes.select("region", "task", (F.sum("n").over(whole.orderBy("task")) - F.col("n")).alias("before"), F.sum("n").over(whole).alias("total"))
+    crowds = crowds.join(sizes, ["region", "task"]).join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    crowds = written(crowds.select("region", "doc_id", "component", F.floor((F.col("before") + F.col("place")) / CROWD_BLOCK).cast("int").alias("block"), F.ceil(F.col("total") / CROWD_BLOCK).cast("int").alias("blocks")), "crowds")
     apart = crowds.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
-    crowds = crowds.join(apart, "region", "left_semi").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    crowds = crowds.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    crowds = crowds.join(apart, "region", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     crowds = crowds.select("region", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "doc_id", "component")
 
     def across(g: pd.DataFrame) -> pd.DataFrame | None:
@@ -215,7 +280,7 @@ def forest(reps: DataFrame, cut: float) -> DataFrame:
 
 def confirm(docs: DataFrame, coarse: DataFrame, reps: DataFrame, size: int, percent: int, cut: float) -> DataFrame:
     """Confirmed links (u, v) that span the components within each coarse class (node, component)."""
-    members = coarse.join(reps.select(F.col("doc_id").alias("node"), "sig", "n"), "node")
+    members = coarse.join(reps.select(F.col("doc_id").alias("node"), "sig", "n", "fp1"), "node")
     sizes = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
     members = members.join(sizes, "component")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(members, "node")
@@ -224,13 +289,16 @@ def confirm(docs: DataFrame, coarse: DataFrame, reps: DataFrame, size: int, perc
         for b in batches:
             texts = list(b["text"])
             for lo, hi in parts(texts):
-                yield b.iloc[lo:hi].assign(shingles=[s.tobytes() for s in shingles(texts[lo:hi], size)]).drop(columns=["text"])
+                own = shingles(texts[lo:hi], size)
+                p = b.iloc[lo:hi].assign(shingles=[s.tobytes() for s in own]).drop(columns=["text"])
+                # of a doc_id with several texts, each signature goes with its own
+                yield p[p["fp1"].to_numpy() == prints(own)[0]]
         release()
 
-    full = texts.mapInPandas(sets, "node long, component long, sig binary, n long, blocks int, shingles binary").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    full = texts.mapInPandas(sets, "node long, component long, sig binary, n long, fp1 long, blocks int, shingles binary").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # the pairs of blocks that a document takes part in; one block: itself
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    full = full.select("component", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "node", "sig", "shingles").dropDuplicates(["component", "b1", "b2", "node"])
+    full = full.select("component", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "node", "fp1", "sig", "shingles").dropDuplicates(["component", "b1", "b2", "node", "fp1"])
 
     def links(g: pd.DataFrame) -> pd.DataFrame | None:
         if len(g) < 2:
@@ -242,23 +310,20 @@ def confirm(docs: DataFrame, coarse: DataFrame, reps: DataFrame, size: int, perc
         found = []
         own = Union(len(g))
         bands = max(1, math.ceil(sig.shape[1] * (1 - cut)))
-        # the likeliest pairs first, band by band of agreement; what is connected by then needs no look
-        root = np.arange(len(g))
-        order = [[] for _ in range(bands + 1)]
-        for lo in range(0, len(g), 1024):
-            s = agreement(sig[lo : lo + 1024], sig)
-            ratio = 100 * np.minimum(lens[lo : lo + 1024, None], lens[None]) >= percent * np.maximum(lens[lo : lo + 1024, None], lens[None])
-            a, b = np.nonzero((s >= cut) & ratio)
+        # some documents against all at a time; of their pairs the likeliest first, and what is connected by then needs no look
+        for lo in range(0, len(g), 256):
+            s = agreement(sig[lo : lo + 256], sig)
+            few, many = np.minimum(lens[lo : lo + 256, None], lens[None]), np.maximum(lens[lo : lo + 256, None], lens[None])
+            root = own.roots()
+            a, b = np.nonzero((s >= cut) & (100 * few >= percent * many) & (root[lo : lo + 256, None] != root[None]))
             up = a + lo < b
             a, b = a[up], b[up]
-            at = np.minimum(((1 - s[a, b]) * sig.shape[1] + 0.5).astype(int), bands)
-            for k in np.unique(at):
-                order[k].append((a[at == k] + lo, b[at == k]))
-        for band in order:
-            for a, b in band:
-                root = np.fromiter((own.find(i) for i in range(len(g))), np.int64, len(g))
-                apart = root[a] != root[b]
-                for i, j in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
+            band = np.minimum(((1 - s[a, b]) * sig.shape[1] + 0.5).astype(int), bands)
+            a += lo
+            for k in np.unique(band):
+                root = own.roots()
+                left = (band == k) & (root[a] != root[b])
+                for i, j in zip(a[left].tolist(), b[left].tolist(), strict=True):
                     if own.find(i) != own.find(j):
                         both = overlap(sets[i], sets[j])
                         if 100 * both >= percent * (int(lens[i]) + int(lens[j]) - both):
@@ -275,7 +340,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     Texts link if ``100 * intersection >= percent * union`` of their sets of ``size``-word
     shingles. A null or wordless text has an empty set and links with nothing. Rows that
     repeat a doc_id are one node, which has the links of all its texts and, in each row,
-    that row's n_shingles. A row without doc_id has component_id null and is kept. An empty
+    that row's n_shingles. A row without doc_id links with nothing: component_id is null and it is kept. An empty
     table gives an empty one. Only doc_id and text are read, whatever other columns there are.
     """
     depth = depth_for(percent / 100)
@@ -283,22 +348,38 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     p = percent / 100
     cut = p - 5 * math.sqrt(p * (1 - p) / entries)
     base = written(sketch(docs, size, depth), "sketch")
+    key = ["fp1", "fp2", "n"]
     nonempty = base.where("n > 0")
-    classes = nonempty.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"))
-    member = nonempty.select("doc_id", "fp1", "fp2", "n").join(classes, ["fp1", "fp2", "n"]).select("doc_id", "rep", "n")
-    reps = written(nonempty.select("doc_id", "fp1", "fp2", "n", "sig", "k1", "k2", "k4").join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "fp1", "fp2", "n"]).dropDuplicates(["doc_id", "fp1", "fp2"]).drop("fp1", "fp2"), "reps")
-    coarse = written(components(forest(reps, cut), "coarse"), "classes")
+    classes = written(nonempty.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets")
+    # the most copied classes, of which there are LARGEST at most, are looked up by broadcast, so that their copies needn't meet in a task
+    least = max(REGION, math.ceil(base.count() / LARGEST))
+
+    def classed(rows: DataFrame, of: DataFrame) -> DataFrame:
+        """rows with the columns of their class in ``of`` (key, copies and others)."""
+        hot = of.where(F.col("copies") > least).drop("copies")
+        rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti")
+        return rows.join(F.broadcast(hot), key).unionByName(rest.join(of.where(F.col("copies") <= least).drop("copies"), key))
+
+    firsts = classes.withColumnRenamed("rep", "doc_id").drop("copies")
+    reps = written(nonempty.join(firsts, ["doc_id", *key]).dropDuplicates(["doc_id", "fp1", "fp2"]).drop("fp2"), "reps")
+    coarse = written(components(forest(reps, cut, depth), "coarse"), "classes")
     near = confirm(docs, coarse, reps, size, percent, cut)
     # a repeated doc_id with several texts ties their classes together
-    spans = member.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least <> most")
-    ties = member.join(spans.select("doc_id", "least"), "doc_id").select(F.col("least").alias("u"), F.col("rep").alias("v"))
-    found = components(near.unionByName(ties), "near")
-    named = member.select(F.col("rep").alias("node")).distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    class_of = member.join(named.withColumnRenamed("node", "rep"), "rep").groupBy("doc_id").agg(F.min("component").alias("component_id"))
-    out = base.select("doc_id", F.col("n").alias("n_shingles")).join(class_of, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    out = out.withColumn("kept", F.col("doc_id") == F.col("component_id")).select("doc_id", "n_shingles", "component_id", "kept")
-    stray = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    return out.unionByName(stray)
+    several = written(base.select("doc_id", *key).distinct().groupBy("doc_id").count().where("count > 1").select("doc_id"), "several")
+    if not several.isEmpty():
+        member = classed(nonempty.select("doc_id", *key).join(several, "doc_id").distinct(), classes)
+        least_rep = member.groupBy("doc_id").agg(F.min("rep").alias("u"))
+        near = near.unionByName(member.join(least_rep, "doc_id").select("u", F.col("rep").alias("v")))
+    found = components(near, "near")
+    named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*key, "copies", F.coalesce("component", "rep").alias("component_id"))
+    ids = base.select("doc_id", *key)
+    out = classed(ids.where("n > 0"), named).unionByName(ids.where("n = 0").withColumn("component_id", F.col("doc_id")))
+    if not several.isEmpty():
+        # every row of such a doc_id has the component of its texts with words
+        own = out.where("n > 0").join(several, "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("own"))
+        out = out.join(own, "doc_id", "left").withColumn("component_id", F.coalesce("own", "component_id"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.unionByName(without_id(docs, size))
 
 
 #: Every pair of documents with a common 3-word shingle, and the components of the links.
