@@ -8,7 +8,7 @@ score is its highest window's. Training takes each text's window that scores hig
 (texts are labelled, windows aren't), of negative ones a random one as well.
 
 Labels come from at most ``SAMPLE`` rows of each class, those with the least hash of
-their doc_id, of texts of up to ``TRAIN_CHARS`` characters; the sample is all that reaches
+their doc_id, and from their whole texts, however long; the sample is all that reaches
 the driver. Scoring is one scan without a shuffle.
 """
 
@@ -26,7 +26,6 @@ WINDOW, STRIDE = 48, 36
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 12
 WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 16
 SAMPLE = 1500
-TRAIN_CHARS = 20_000
 STEPS, BATCH, RATE = 500, 64, 0.01
 #: The row of an embedding with the steepest gradient moves ROW_RATE times as far as a weight does.
 ROW_RATE = 120
@@ -298,17 +297,20 @@ class _Part:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str) -> pd.DataFrame:
-    """Up to SAMPLE texts of each class, of the rows whose crc32(doc_id as text) mod 5 is not 0."""
+    """Up to SAMPLE whole texts of each class, of the rows whose crc32(doc_id as text) mod 5 is not 0.
+
+    A doc_id with both labels counts as 1; of one with several texts, that of the least hash
+    counts. Labels without a document take no place in the sample.
+    """
     known = labels.where(f"doc_id is not null and {label} in (0, 1) and crc32(cast(cast(doc_id as long) as string)) % 5 <> 0")
-    known = known.groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max(label).cast("int").alias("__y")).withColumn("__h", F.xxhash64("__id"))
-    # ids only, as many again for those whose text is missing or too long
-    few = [known.where(F.col("__y") == y).orderBy("__h").limit(2 * SAMPLE) for y in (0, 1)]
-    ids = few[0].unionByName(few[1])
-    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= TRAIN_CHARS)
-    rows = texts.join(F.broadcast(ids), "__id").dropDuplicates(["__id"])  # at most 4 * SAMPLE ids are broadcast
-    top = [rows.where(F.col("__y") == y).orderBy("__h").limit(SAMPLE) for y in (0, 1)]
-    rows = top[0].unionByName(top[1]).select("text", "__y", "__h").toPandas()
-    return rows.sort_values(["__h", "text"]).rename(columns={"__y": "y"})
+    known = known.groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max(label).cast("int").alias("y"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text")).where("__id is not null")
+    # numbers first, so that only the sample's texts are moved
+    there = known.join(texts.groupBy("__id").agg(F.min(F.xxhash64("text")).alias("__t")), "__id").withColumn("__h", F.xxhash64("__id"))
+    top = [there.where(F.col("y") == y).orderBy("__h", "__id").limit(SAMPLE) for y in (0, 1)]
+    few = top[0].unionByName(top[1]).withColumnRenamed("__t", "__least")  # at most 2 * SAMPLE rows are broadcast
+    rows = texts.join(F.broadcast(few), "__id").where(F.xxhash64("text") == F.col("__least")).dropDuplicates(["__id"])
+    return rows.select("text", "y", "__h").toPandas().sort_values(["__h", "text"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Network:
