@@ -139,15 +139,23 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = shadowed(docs, firsts)
     doc = F.floor(F.col("pos") / F.lit(_SHIFT).cast("decimal(10,0)"))
     place = F.struct((F.col("pos") - doc * F.lit(_SHIFT).cast("decimal(10,0)")).cast("int").alias("n"), F.col("a"))
-    kept = firsts.join(gone, ["a", "b"], "left_anti").select(doc.cast("long").alias("__doc"), place.alias("p")).groupBy("__doc").agg(F.collect_list("p").alias("__kept"))
+    kept = firsts.join(gone, ["a", "b"], "left_anti").select(doc.cast("long").alias("__doc"), place.alias("p")).groupBy("__doc").agg(F.sort_array(F.collect_list("p")).alias("__kept"))
+    # by line number the hash of the line that is kept there, so a line looks at one place; only rows that repeat a
+    # doc_id can have several lines kept at one place, and search them all
+    numbers = F.transform("__kept", lambda p: p["n"])
+    before = lambda i: F.coalesce(F.get("__kept", i - 1)["n"], F.lit(-1))
+    at = F.flatten(F.transform("__kept", lambda p, i: F.concat(F.array_repeat(F.lit(None).cast("long"), p["n"] - before(i) - 1), F.array(p["a"]))))
+    once = F.size(F.array_distinct(numbers)) == F.size("__kept")
+    kept = kept.select("__doc", F.when(once, at).alias("__at"), F.when(~once, F.col("__kept")).alias("__kept"))
     rows = docs.drop("lines_before", "lines_dropped").withColumn("__doc", F.col("doc_id").cast("long")).join(kept, "__doc", "left")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
-    stays = lambda x, i: ~counts(x) | F.coalesce(F.array_contains(F.col("__kept"), F.struct(i.alias("n"), F.xxhash64(x).alias("a"))), F.lit(False))
+    same = lambda x, i: (F.get("__at", i) == F.xxhash64(x)) | F.array_contains(F.col("__kept"), F.struct(i.alias("n"), F.xxhash64(x).alias("a")))
+    stays = lambda x, i: ~counts(x) | F.coalesce(same(x, i), F.lit(False))
     left = F.when(F.col("doc_id").isNull(), lines).otherwise(F.filter(lines, stays))
     rows = rows.withColumn("__left", left)
     none = F.col("text").isNull()
     rows = rows.withColumn("lines_before", F.when(none, 0).otherwise(F.size(lines))).withColumn("lines_dropped", F.when(none, 0).otherwise(F.size(lines) - F.size("__left")))
-    return rows.withColumn("text", F.array_join("__left", "\n")).drop("__doc", "__kept", "__left")
+    return rows.withColumn("text", F.array_join("__left", "\n")).drop("__doc", "__at", "__kept", "__left")
 
 
 #: The same rule over whole tables: halves that near lines share, then each pair of lines that meet by one.
