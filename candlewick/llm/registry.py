@@ -74,10 +74,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_embeddings, op3_minhash, op4_line_dedup, op5_token_ids, op6_sharding, op7_decontamination, op8_packing, op9_quality, op10_url_filter)}
 
-#: op6's checksum has no DuckDB function; tests compute it.
 SQL: dict[str, str] = {
     "op2_embeddings": cover_tree.ORACLE_SQL,
     "op3_minhash": minhash.ORACLE_SQL,
     "op4_line_dedup": lines.ORACLE_SQL,
+    "op6_sharding": sharding.oracle_sql(16),
     "op10_url_filter": url_filter.oracle_sql(RULES),
 }
