@@ -9,23 +9,28 @@ hit climbs the tree and is dropped where no part around it matches so well (Nava
 Baeza-Yates). What reaches the root is measured by Myers' bit-parallel algorithm; a match
 is an occurrence within k edits.
 
+An item of fewer than ``LEAST`` characters would occur by chance with edits; it is one piece,
+which must stand there as it is, between blanks.
+
 The benchmark, a fixed set of test items, is broadcast after its size is checked; a larger
-one goes through in slices of ``SLICE`` characters, a scan for each.
+one goes through in slices of ``SLICE`` characters. Each slice is a pass of its own, written
+before the next, so a task holds one slice's automaton at a time.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import release
+from .shared import release, written
 
 ERRORS = 0.1
-#: Items of fewer characters say nothing: they occur by chance.
+#: Items of fewer characters are matched without edits, at word boundaries.
 LEAST = 24
 SLICE = 8_000_000
 _NOT_WORD = re.compile(r"[\W_]+")
@@ -66,11 +71,11 @@ def myers(pattern: str, text: str, most: int) -> tuple[int, int]:
 class Item:
     """A test item: its pieces and, for each, the parts around it from the piece's parent up to the whole."""
 
-    def __init__(self, text: str):
-        self.text = text
-        self.errors = int(ERRORS * len(text))
+    def __init__(self, text: str, exact: bool = False):
+        self.text = f" {text} " if exact else text
+        self.errors = 0 if exact else int(ERRORS * len(text))
         self.pieces: list[tuple[int, int, list[tuple[int, int, int]]]] = []
-        self._cut(0, len(text), self.errors, [])
+        self._cut(0, len(self.text), self.errors, [])
 
     def _cut(self, lo: int, hi: int, errors: int, above: list[tuple[int, int, int]]) -> None:
         """Of two halves with e errors together, one has at most e // 2 of them, or the other at most e - e // 2 - 1."""
@@ -85,11 +90,22 @@ class Item:
         self._cut(mid, hi, right, part)
 
 
+_held: list[tuple[str, Matcher]] = []
+
+
+def matcher(key: str, items: Callable[[], list[tuple[int, str]]]) -> Matcher:
+    """The automaton of a slice, kept by a process until it gets another."""
+    if not _held or _held[0][0] != key:
+        _held.clear()
+        _held.append((key, Matcher(items())))
+    return _held[0][1]
+
+
 class Matcher:
     def __init__(self, items: list[tuple[int, str]], least: int = LEAST):
         import ahocorasick
 
-        self.items = [(i, Item(t)) for i, t in ((i, plain(t)) for i, t in items) if t and len(t) >= least]
+        self.items = [(i, Item(t, len(t) < least)) for i, t in ((i, plain(t)) for i, t in items) if t]
         self.find = ahocorasick.Automaton()
         where: dict[str, list[tuple[int, int]]] = {}
         for n, (_, item) in enumerate(self.items):
@@ -105,7 +121,7 @@ class Matcher:
         """Of each item that occurs in the text: its least number of edits."""
         if self.empty:
             return {}
-        t = plain(text)
+        t = f" {plain(text)} "
         out: dict[int, int] = {}
         tried: set[tuple[int, int]] = set()
         failed: set[tuple[int, int, int, int]] = set()
@@ -144,8 +160,7 @@ class Matcher:
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, contaminated, item_ids (ascending), edits (the least, null without a match).
 
-    A null or wordless text matches nothing, nor does an item that is null or of fewer than
-    LEAST characters. Of rows
+    A null or wordless text matches nothing, nor does an item that is null or wordless. Of rows
     that repeat an item_id, any may match. Rows that repeat a doc_id, or lack one, have
     a result each. Without items nothing is contaminated. Only doc_id, item_id and the
     texts are read.
@@ -153,14 +168,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     slices = max(1, -(-size // SLICE))
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = None
+    out = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for k in range(slices):
         part = items if slices == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
         held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in part.distinct().collect()])  # about SLICE characters
 
-        def work(batches, held=held, keep=k < slices - 1, first=k == 0):
-            m = Matcher(held.value)
+        def work(batches, held=held, key=uuid.uuid4().hex, keep=k < slices - 1, first=k == 0):
+            m = matcher(key, lambda: held.value)
             for b in batches:
                 found = [m.matches(x if isinstance(x, str) else None) for x in b["text"]]
                 ids, edits = [sorted(f) for f in found], [min(f.values()) if f else None for f in found]
@@ -171,5 +185,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield frame.assign(text=b["text"]) if keep else frame
             release()
 
-        out = (rows if out is None else out).mapInPandas(work, "doc_id string, item_ids array<long>, edits int" + ", text string" * (k < slices - 1))
+        out = out.mapInPandas(work, "doc_id string, item_ids array<long>, edits int" + ", text string" * (k < slices - 1))
+        if k < slices - 1:
+            out = written(out, "matched")
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "edits")
