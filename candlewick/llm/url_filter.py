@@ -3,7 +3,7 @@
 Hosts of whose pages most are allowed by a rule are trusted seeds; those of whose pages
 most are blocked are blocked seeds. Personalised PageRank from the trusted seeds follows
 links; distrust from the blocked seeds goes against them, to hosts that link there. A
-host with more distrust than trust is blocked. Edges are the links in pages' html with a
+host with more distrust than trust is blocked. The mass of a host without links ends there. Edges are the links in pages' html with a
 host of their own, weighted by number, links within a host aside. All in DataFrame
 functions; a round is a join and an aggregate over edges, written to the shared folder.
 Rounds go on until every host that links lead to has a mass and none still changes.
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from .shared import remove, written
 
 DAMPING = 0.85
-#: Rounds of the SQL, which can't stop by itself; the operator has no limit.
-ROUNDS = 12
 #: Largest change of a mass in a round, as a share of that mass, at which it is settled.
 CONVERGED = 1e-6
 
@@ -102,12 +100,12 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
         n = own.count()
         mass[name] = spread(way, own.select("host", F.lit(1.0 / max(n, 1)).alias("seed"))).withColumnRenamed("mass", name)
     bad = mass["distrust"].join(mass["trust"], "host", "left").where(F.col("distrust") > F.coalesce("trust", F.lit(0.0))).select("host", F.lit("block").alias("by_host"))
-    out = rows.join(bad, "host", "left")
+    out = rows.join(bad, "host", "left")  # a host of many pages is split by the engine, as nothing above needs its rows together
     return out.select("page_id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", "by_host", F.lit("allow")).alias("verdict"))
 
 
 def oracle_sql(rules: list[tuple[str, str, str]]) -> str:
-    """The same over ``pages``, with all rounds."""
+    """The same over ``pages``: masses as the sum over walks of each length, until what still walks is next to nothing."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({q(v)}, {q(h)}, {q(p)})" for v, h, p in rules)
     low = lambda x: f"translate({x}, '{_UP}', '{_LOW}')"
@@ -122,7 +120,8 @@ def oracle_sql(rules: list[tuple[str, str, str]]) -> str:
     for name, count, u, v in (("trust", "a", "u", "v"), ("distrust", "b", "v", "u")):
         parts.append(f"{name}_p AS (SELECT {u} AS u, {v} AS v, n / sum(n) OVER (PARTITION BY {u}) AS p FROM links)")
         parts.append(f"{name}_0 AS (SELECT host, {1 - DAMPING} / count(*) OVER () AS mass FROM hosts WHERE {count} * 2 > n)")
-        for i in range(ROUNDS):
-            parts.append(f"{name}_{i + 1} AS MATERIALIZED (SELECT host, sum(mass) AS mass FROM (SELECT * FROM {name}_0 UNION ALL SELECT v AS host, {DAMPING} * sum(p * mass) AS mass FROM {name}_p JOIN {name}_{i} ON u = host GROUP BY v) GROUP BY host)")
-    last = f"distrust_{ROUNDS} d LEFT JOIN trust_{ROUNDS} t ON d.host = t.host WHERE d.mass > coalesce(t.mass, 0)"
-    return "WITH " + ",\n ".join(parts) + f"\nSELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host IN (SELECT d.host FROM {last}) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled"
+        # a walk of k links from the seeds; 0.85 ** 170 is 1e-12
+        parts.append(f"{name}_walks(k, host, mass) AS (SELECT 0, host, mass FROM {name}_0 UNION ALL SELECT k + 1, v, {DAMPING} * sum(p * mass) FROM {name}_walks JOIN {name}_p ON u = host WHERE k < 170 GROUP BY k, v)")
+        parts.append(f"{name} AS (SELECT host, sum(mass) AS mass FROM {name}_walks GROUP BY host)")
+    last = "distrust d LEFT JOIN trust t ON d.host = t.host WHERE d.mass > coalesce(t.mass, 0)"
+    return "WITH RECURSIVE " + ",\n ".join(parts) + f"\nSELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host IN (SELECT d.host FROM {last}) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled"
