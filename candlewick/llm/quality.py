@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .shared import parts, release
 from .words import join_bytes, mix, segment_hashes, word_spans
 
-SAMPLE = 4000
+SAMPLE = 6000
 WIDTH = 1 << 16
 PASSES = 12
 #: The most good texts on which a labeller may vote bad.
