@@ -19,9 +19,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where unset, as in tests, an own one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset, a session of one machine gets an own one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="candlewick-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -31,11 +33,28 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/candlewick/{what}-{uuid.uuid4().hex[:12]}"
 
 
+#: What ``written`` wrote in this process and ``scratch`` has not removed.
+_tables: list[str] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Removes, at its end, the tables that were written within."""
+    start = len(_tables)
+    try:
+        yield
+    finally:
+        for path in _tables[start:]:
+            remove(spark, path)
+        del _tables[start:]
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends there, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.parquet(path)
+    _tables.append(path)
     # shuffle files go once the driver collects its garbage; what was written needs none
     gc.collect()
     spark.sparkContext._jvm.System.gc()
@@ -144,6 +163,13 @@ class Union:
             self.up[a] = b
         return True
 
+    def roots(self) -> np.ndarray:
+        """The root of every element."""
+        up = np.array(self.up, np.int64)
+        while not np.array_equal(top := up[up], up):
+            up = top
+        return up
+
 
 def spanning(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The links of a star forest with the same components as the links (u, v), each from a node to the smallest of its component."""
@@ -152,7 +178,7 @@ def spanning(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     forest = Union(len(ids))
     for a, b in zip(flat[0].tolist(), flat[1].tolist(), strict=True):
         forest.join(a, b)
-    root = np.fromiter((forest.find(i) for i in range(len(ids))), dtype=np.int64, count=len(ids))
+    root = forest.roots()
     kept = root != np.arange(len(ids))
     return ids[kept], ids[root[kept]]
 
