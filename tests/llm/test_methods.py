@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -90,17 +91,46 @@ def test_near_copies_of_a_crowd(spark):
     assert got == want
 
 
-def test_linked_pairs_within_a_crowd(spark, monkeypatch):
+@pytest.mark.parametrize("tasks", ["4", "23"])
+def test_linked_pairs_within_a_crowd(spark, monkeypatch, tasks):
     """Documents that share every tree's region and nothing deeper; each tenth agrees with the next as a linked pair may."""
-    monkeypatch.setattr(minhash, "CROWD_BLOCK", 150, raising=False)
+    monkeypatch.setattr(minhash, "CROWD_BLOCK", 150)
     g = np.random.default_rng(5)
-    sig = g.integers(0, 1 << 16, (700, 120), dtype=np.uint16)
+    sig = g.integers(0, 1 << 16, (1400, 120), dtype=np.uint16)
     sig[:, :40] = sig[0, :40]
     sig[1::10, 40:100] = sig[::10, 40:100]
-    deeper = g.integers(0, 1 << 62, (700, 2, minhash.TREES)).tolist()
-    rows = [(i, sig[i].tobytes(), list(range(minhash.TREES)), *deeper[i]) for i in range(700)]
-    reps = spark.createDataFrame(rows, "doc_id long, sig binary, k1 array<long>, k2 array<long>, k4 array<long>")
-    assert {(x.u, x.v) for x in minhash.forest(reps, 0.69).collect()} == {(i, i + 1) for i in range(0, 700, 10)}
+    sig = sig[g.permutation(len(sig))]
+    rows = [(i, s.tobytes(), (s & 0xFF).astype(np.uint8).tobytes(), list(range(minhash.TREES))) for i, s in enumerate(sig)]
+    reps = spark.createDataFrame(rows, "doc_id long, sig binary, low binary, regions array<long>")
+    spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(tasks == "4").lower())
+    try:
+        found = {(x.u, x.v) for x in minhash.forest(reps, 0.69, 5).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    same = minhash.agreement(sig, sig) >= 0.69
+    assert found == {(i, j) for i, j in zip(*np.nonzero(same), strict=True) if i < j} and len(found) == 140
+
+
+def test_regions_along_an_order(spark):
+    """Runs of equal prefixes, cut anywhere by ranges and batches, come out whole."""
+    r = random.Random(4)
+    sizes = [1, 2, 700, 1, 1500, 3, 1]
+    rows = [(k, sum(sizes[:k]) + i) for k, n in enumerate(sizes) for i in range(n)]
+    for cuts in ([], [1], [3, 500, 1500], sorted(r.sample(range(len(rows)), 40))):
+        batches = [pd.DataFrame(rows[a:b], columns=["region", "doc_id"]) for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True)]
+        from unittest import mock
+
+        with mock.patch.object(minhash.TaskContext, "get") as get:
+            get.return_value.partitionId.return_value = 0
+            out = pd.concat(minhash.walk(iter(batches)))
+        assert out["doc_id"].tolist() == [i for k, i in rows if sizes[k] > 1 or k in (0, 6)] and not out["doc_id"].duplicated().any()
+        assert (out.groupby("region")["place"].max() + 1).to_dict() == {k: n for k, n in enumerate(sizes) if n > 1 or k in (0, 6)}
+        assert out.groupby("meet").size().max() <= minhash.REGION and (out["crowd"] == out["region"].isin([2, 4])).all()
+        # each meets the REGION / 2 neighbours before and after it
+        crowd = out[out["region"] == 4].reset_index()
+        assert all((crowd["meet"][i] == crowd["meet"][j]) or (crowd["again"][i] == crowd["again"][j]) for i in range(0, 1500, 7) for j in range(i, min(i + minhash.REGION // 2, 1500), 50))
 
 
 def test_cover_tree_against_all_pairs(spark, monkeypatch):
@@ -204,6 +234,19 @@ def test_rendezvous_moves_few(spark):
         sharding.shard_of(docs["doc_id"], [])
 
 
+def test_shards_computed_again(spark):
+    import hashlib
+
+    def draw(i, k):
+        return -math.log((int(hashlib.md5(f"{i}/{k}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52))
+
+    got = registry.op6_sharding(spark, SF).collect()
+    assert len(got) == table(spark, "documents").count()
+    for r in got:
+        score = [draw(r.doc_id, k) for k in range(17)]
+        assert (r.shard, r.grown_shard) == (min(range(16), key=score.__getitem__), min(range(17), key=score.__getitem__))
+
+
 def brute_edits(pattern, text):
     prev = [0] * (len(text) + 1)
     for i, c in enumerate(pattern, 1):
@@ -230,6 +273,44 @@ def test_edit_matching_against_dynamic_programming():
         hits += bool(want)
         assert decontamination.Matcher([(1, item)], least=0).matches(text) == want
     assert hits > 80
+    short = decontamination.Matcher([(1, "Paris, 1889."), (2, "yes")])
+    assert short.matches("in PARIS 1889, they say") == {1: 0} and short.matches("Paris 1889") == {1: 0} and short.matches("parisx 1889 yesterday") == {}
+
+
+def test_contamination_against_every_occurrence(spark):
+    """Each document of the table against each item: dynamic programming where a fourth of the item's words occur."""
+    docs, items = table(spark, "documents").collect(), [(r.item_id, decontamination.plain(r.text)) for r in table(spark, "benchmark").collect()]
+    got = {r.doc_id: r for r in registry.op7_decontamination(spark, SF).collect()}
+    assert len(got) == len(docs)
+    pairs = 0
+    for d in docs:
+        t = decontamination.plain(d.text)
+        words = set(t.split())
+        want = {}
+        for i, item in items:
+            w = item.split()
+            # an edit of each tenth character leaves most of ten words' parts; a document with none of an item's words is far
+            if sum(x in words for x in w) * 4 < len(w):
+                continue
+            pairs += 1
+            most = int(decontamination.ERRORS * len(item))
+            edits = sellers(item, t)
+            if edits <= most:
+                want[i] = edits
+        assert got[d.doc_id].item_ids == sorted(want) and got[d.doc_id].edits == min(want.values(), default=None)
+    assert pairs > 20 and any(r.contaminated for r in got.values())
+
+
+def sellers(pattern, text):
+    """The least edits of an occurrence, a column of the table at a time."""
+    p = np.frombuffer(pattern.encode("utf-32-le"), np.uint32)
+    col, step = np.arange(len(p) + 1), np.arange(len(p) + 1)
+    best = len(p)
+    for c in np.frombuffer(text.encode("utf-32-le"), np.uint32):
+        new = np.concatenate([[0], np.minimum(col[:-1] + (p != c), col[1:] + 1)])
+        col = np.minimum.accumulate(new - step) + step
+        best = min(best, int(col[-1]))
+    return best
 
 
 def test_benchmark_slices_agree(spark, monkeypatch):
@@ -360,6 +441,11 @@ def test_distrust_over_a_long_chain(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.host: r.verdict for r in url_filter.judge(df, registry.RULES).collect()}
     assert all(got[f"h{i}.org"] == "block" for i in range(18)) and got["alone.org"] == "allow"
+    import duckdb
+
+    c = duckdb.connect()
+    c.register("pages", df.toPandas())
+    assert got == dict(c.sql(f"SELECT host, verdict FROM ({url_filter.oracle_sql(registry.RULES)})").fetchall())
 
 
 def test_pipeline_stages(spark):
