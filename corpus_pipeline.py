@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import decontamination, lines, minhash, packing, quality, registry
-from candlewick.llm.shared import read, written
+from candlewick.llm.shared import new_path, read, scratch, written
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -35,6 +35,7 @@ def _keep(rows: DataFrame, judged: DataFrame, kept: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops rows whose text scores below 0.5; a null or wordless text scores 0. Ties and repeats are judged each."""
     rows = _keyed(docs)
     return _keep(rows, quality.score_documents(_by_row(rows), quality.fit(docs)), "kept")
 
@@ -42,7 +43,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops repeated lines, and a document that loses its last words with them.
 
-    The earliest line is that of the least doc_id; rows without one come last.
+    The earliest line is that of the least doc_id; rows without one come last, in the order of
+    their texts' hashes, and so do rows that repeat a doc_id. A null text has no lines and stays,
+    as does an empty or blank text that lost none. n_chars is counted anew where lines went.
     """
     rows = _keyed(docs)
     out = lines.dedup_lines(_by_row(rows.withColumn("__id", F.col("doc_id")))).withColumn("doc_id", F.col("__id"))
@@ -51,18 +54,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row, that of the least doc_id, of each group of near duplicates; one without doc_id only where no other is."""
+    """Keeps one row, that of the least doc_id, of each group of near duplicates; one without doc_id only where no other is.
+
+    Of rows with one doc_id, that of the least text hash. A null or wordless text is no duplicate and stays.
+    """
     rows = _keyed(docs)
     return _keep(rows, minhash.near_duplicates(_by_row(rows), size=5, percent=80), "kept")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops rows whose text holds a benchmark item, each by its own text. A null or empty text holds none; nor does any without items."""
     rows = _keyed(docs)
     return _keep(rows, decontamination.contamination(_by_row(rows), read(spark, sf_dir, "benchmark")), "not contaminated")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each row, as ``packing.pack_documents`` tells; a null or empty text is the end id alone, repeats are packed each."""
     return packing.pack_documents(docs, registry.tokenizer_path(), end_id=2)
 
 
@@ -79,7 +86,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each but the last is written, and what it wrote on the way is removed.
+
+    An empty table goes through as one, and gives no pieces.
+    """
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_path(spark, f"stage-{name}")
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
