@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import release
+from .shared import parts, release
 from .tokens import encoder
 
 SEQUENCE = 4096
@@ -105,9 +105,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
 
         for b in batches:
             ids = b["doc_id"].to_pylist()
-            for lo in range(0, len(ids), 3000):
-                texts = b["text"].slice(lo, 3000).to_pylist()
-                for d, x in zip(ids[lo : lo + 3000], e.documents(texts, end_id), strict=True):
+            texts = b["text"].to_pylist()
+            for lo, hi in parts(texts):
+                for d, x in zip(ids[lo:hi], e.documents(texts[lo:hi], end_id), strict=True):
                     held.append(x.astype(e.dtype))
                     names.append(d)
                     n += len(x)

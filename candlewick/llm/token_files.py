@@ -3,8 +3,8 @@
 A shard is one file: magic, a JSON header with the id width and the dictionary's SHA-256,
 a zstandard frame for each document, then the index (doc_id, whether it is null, token
 count, frame offset) and its place. A document is read with one seek. The dictionary is
-a file beside the shards, trained on the serialized ids of at most ``SAMPLE`` documents,
-those with the least hashes; a reader checks its hash before use.
+a file beside the shards, trained on the serialized ids of at most ``SAMPLE`` documents of
+``SAMPLE_CHARS`` characters, those with the least hashes; a reader checks its hash before use.
 
 Documents are dealt by range of doc_id and sorted, so shard after shard holds ascending
 doc_ids. A shard is written under another name and then renamed; a task that runs
@@ -27,11 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import new_path, written
+from .shared import new_path, parts, release, written
 from .tokens import encoder
 
 MAGIC = b"CWTOK01\n"
+#: The dictionary is trained on the documents with the least hashes: at most so many, of so many characters together.
 SAMPLE = 1024
+SAMPLE_CHARS = 8 << 20
 DICTIONARY_BYTES = 64 << 10
 SHARD = "shard-%08d.tok"
 
@@ -168,10 +170,16 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
     def sample(batches: Iterator[pa.RecordBatch]):
         e = encoder(tokenizer)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([x.astype(e.dtype).tobytes() for x in e.documents(b["text"].to_pylist(), end_id)], pa.binary())], ["ids"])
-
-    few = rows.orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE).select("text").mapInArrow(sample, "ids binary")
-    dictionary = train_dictionary([bytes(r.ids) for r in few.collect()])
+            yield pa.RecordBatch.from_arrays([b["h"], pa.array([x.astype(e.dtype).tobytes() for x in e.documents(b["text"].to_pylist(), end_id)], pa.binary())], ["h", "ids"])
+
+    # keys and lengths first; then the texts of those that are within the bounds
+    h = F.xxhash64("doc_id", "text")
+    keys = rows.select(h.alias("h"), F.coalesce(F.length("text"), F.lit(0)).alias("n")).orderBy("h", "n").limit(SAMPLE).collect()
+    chars = np.cumsum([r.n for r in keys])
+    few = [r.h for r, c in zip(keys, chars.tolist(), strict=True) if c <= SAMPLE_CHARS]
+    found = rows.where(h <= few[-1]).select(h.alias("h"), "text").dropDuplicates(["h"]).repartition(8, "h").mapInArrow(sample, "h long, ids binary").orderBy("h").limit(SAMPLE).collect() if few else []
+    dictionary = train_dictionary([bytes(r.ids) for r in found])
+    del found
     put(f"{path}/dictionary", dictionary)
 
     def write(batches: Iterator[pa.RecordBatch]):
@@ -179,17 +187,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
         shard, out = TaskContext.get().partitionId(), None
         for b in batches:
             ids = b["doc_id"].to_pylist()
-            for lo in range(0, len(ids), 3000):
-                texts = b["text"].slice(lo, 3000).to_pylist()
+            texts = b["text"].to_pylist()
+            for lo, hi in parts(texts):
                 if out is None:
                     out = ShardWriter(f"{path}/{SHARD % shard}", dictionary, e.dtype)
-                for d, x in zip(ids[lo : lo + 3000], e.documents(texts, end_id), strict=True):
+                for d, x in zip(ids[lo:hi], e.documents(texts[lo:hi], end_id), strict=True):
                     out.add(d, x)
         if out is not None:
             n, tokens = out.close()
             yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (shard, n, tokens)], ["shard", "documents", "tokens"])
+        e.forget()  # a worker that waits between tasks keeps frequent chunks only
+        release()
 
-    dealt = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "h").drop("h")
+    # by hash too, so that texts of one doc_id, or of none, spread over tasks
+    dealt = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").drop("h")
     shards = written(dealt.mapInArrow(write, "shard long, documents long, tokens long"), "shards")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     return path, shards.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
@@ -212,5 +223,6 @@ def read_tokens(spark: SparkSession, path: str, shards: DataFrame) -> DataFrame:
                 starts = start + np.cumsum(n) - n
                 yield pa.RecordBatch.from_arrays([pa.array(r.doc_ids, pa.int64(), mask=r.null.astype(bool)), pa.array(starts), pa.array(n), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    each = shards.select("shard", "start").repartition("shard")
+    # a number of partitions that is given stays, however few bytes the names of files are
+    each = shards.select("shard", "start").repartitionByRange(max(1, shards.count()), "shard")
     return each.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")

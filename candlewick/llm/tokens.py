@@ -16,8 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks that a process keeps before it drops those that came once, about 170 MB.
-KEPT = 700_000
+#: Chunks that a process keeps before it drops those that came once, about 50 MB.
+KEPT = 200_000
+#: Characters put together at a time; a longer text is a part of its own.
+PART = 2_000_000
 _encoders: dict[str, Encoder] = {}
 
 
@@ -52,8 +54,11 @@ class Encoder:
         parts = probe.replace("\n", " ").replace(",", " ,").replace("...", " ...").replace("%%", " %%").split(" ")
         if self.tokenizer.encode(probe, add_special_tokens=False).ids != [i for c in parts for i in self.tokenizer.encode(c, add_special_tokens=False).ids]:
             raise ValueError("this tokenizer has ids that depend on white space; only those that drop it are supported")
+        # where case doesn't matter to the ids, ASCII texts are lower-cased first, so that fewer chunks differ
+        cased = string.ascii_uppercase + " An ORDINARY Text With THE Names Of Paris"
+        self.caseless = self.tokenizer.encode(cased, add_special_tokens=False).ids == self.tokenizer.encode(cased.lower(), add_special_tokens=False).ids
         self.at = _Numbers({" ": 0})
-        self.ids = np.zeros(1 << 20, np.uint32)
+        self.ids = np.zeros(1 << 18, np.uint32)
         self.begin, self.length, self.seen = (np.zeros(KEPT, np.int32) for _ in range(3))
         self.used = 0
 
@@ -123,11 +128,11 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text's begin (one more for the end). A null is empty."""
         # in ASCII the library's lower-casing is Python's; a special token keeps its case
-        texts = [t.lower() if t.isascii() and "<|" not in t else t for t in (t or "" for t in texts)]
+        texts = [t.lower() if self.caseless and t.isascii() and "<|" not in t else t for t in (t or "" for t in texts)]
         ids, sizes, lo = [], [], 0
         while lo < len(texts):
             hi, chars = lo, 0
-            while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= 12_000_000):
+            while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= PART):
                 chars += len(texts[hi])
                 hi += 1
             part = texts[lo:hi]
