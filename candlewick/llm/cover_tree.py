@@ -7,7 +7,7 @@ halving radii, each vector under a centre within its level's radius. A tree is k
 each vector's path of child numbers, centres first, so a node is a run of rows.
 
 Two blocks meet if their pivots' distance less both radii is within the bound; each such
-pair, and each block with itself, is a task. A pair of nodes is dropped when the
+pair, found by joins over the cells that may meet, and each block with itself, is a task. A pair of nodes is dropped when the
 distance of their centres less both covering radii exceeds the bound, taken whole when
 the distance plus both radii is within it, and else its children are paired. A pair taken
 whole adds counts to both runs and ties them together without listing its links; so
@@ -30,10 +30,18 @@ from pyspark.sql import functions as F
 from .shared import Union, by_group, components, written
 
 BLOCK = 8192
-PIVOTS = 256
-LEVELS = 6  # radii 1/2, 1/4 ... 1/64 below the root; a wider ball tells nothing of vectors in many dimensions
-LOOSE = 4e-6  # of a cosine from single precision
-EXACT = 1e-12
+PIVOTS = 1024
+LEVELS = 7  # radii 1, 1/2 ... 1/64 below the root, whose ball of radius 2 holds all
+
+
+def slack(dim: int) -> float:
+    """More than rounding can add to a distance and two radii in double precision; it is largest near 0."""
+    return 3 * math.sqrt(2 * (2 * dim + 8) * 1.2e-16)
+
+
+def loose(dim: int) -> float:
+    """More than rounding can take from a cosine and its bound in single precision."""
+    return (dim + 32) * 6e-8
 
 
 def grow(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +51,7 @@ def grow(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     path = np.zeros((n, LEVELS), np.int32)
     runs = [(0, n)]
     for level in range(LEVELS):
-        least = 1 - (2.0 ** -(level + 1)) ** 2 / 2  # the cosine at the level's radius
+        least = 1 - (2.0**-level) ** 2 / 2  # the cosine at the level's radius
         nxt = []
         for lo, hi in runs:
             own = order[lo:hi]
@@ -119,6 +127,7 @@ class Tree:
 def dual(a: Tree, b: Tree, similarity: float):
     """Links between two trees, or within one: counts added to the rows of a and b, pairs of rows that link, pairs of nodes that link throughout."""
     bound = math.sqrt(2 - 2 * similarity)
+    more_than = slack(a.x.shape[1])
     same = a is b
     singles, wholes = [], []
     todo = [(np.zeros(1, np.int64), np.zeros(1, np.int64))]
@@ -138,9 +147,9 @@ def dual(a: Tree, b: Tree, similarity: float):
             if same:
                 hit &= p != q
             singles.append((a.begin[p[hit]], b.begin[q[hit]]))
-            far = d - r > bound + 1e-9
+            far = d - r > bound + more_than
             # a node with itself: any two of its vectors are within twice its radius
-            near = ~one & (np.where((p == q) & same, r, d + r) <= bound - 1e-9)
+            near = ~one & (np.where((p == q) & same, r, d + r) <= bound - more_than)
             wholes.append((p[near], q[near]))
             more = ~one & ~far & ~near
             if more.any():
@@ -153,7 +162,7 @@ def dual(a: Tree, b: Tree, similarity: float):
         fj, lj = np.where(b.last[j] > b.first[j], b.first[j], j), np.where(b.last[j] > b.first[j], b.last[j], j + 1)
         n = (li - fi) * (lj - fj)
         for k in np.flatnonzero(n > 4096):
-            _dense(a, b, np.arange(fi[k], li[k]), np.arange(fj[k], lj[k]), bound, judge)
+            _dense(a, b, np.arange(fi[k], li[k]), np.arange(fj[k], lj[k]), bound + more_than, judge)
         small = np.flatnonzero(n <= 4096)
         cut = np.cumsum(n[small]) // 500_000
         for part in (small[cut == c] for c in np.unique(cut)):
@@ -170,6 +179,7 @@ def _dense(a: Tree, b: Tree, p: np.ndarray, q: np.ndarray, bound: float, judge)
     """Of many node pairs at once, hands on those that a bound in single precision doesn't drop."""
     # nodes that are a vector, or copies of one, share one bound; few others are as near the root
     p, q = p[np.argsort(a.radius[p] > 0, kind="stable")], q[np.argsort(b.radius[q] > 0, kind="stable")]
+    less = np.float32(loose(a.x.shape[1]))
     for lo in range(0, len(p), 2048):
         pp = p[lo : lo + 2048]
         x, rx = a.single[a.begin[pp]], a.radius[pp].astype(np.float32)
@@ -179,7 +189,7 @@ def _dense(a: Tree, b: Tree, p: np.ndarray, q: np.ndarray, bound: float, judge)
             reach = np.float32(bound)
             if rx[-1] > 0 or ry[-1] > 0:
                 reach = np.minimum(reach + rx[:, None] + ry[None], np.float32(2))
-            i, j = np.nonzero(x @ b.single[b.begin[qq]].T >= 1 - reach * reach / 2 - np.float32(LOOSE))
+            i, j = np.nonzero(x @ b.single[b.begin[qq]].T >= 1 - reach * reach / 2 - less)
             if len(i):
                 judge(pp[i], qq[j])
 
@@ -237,7 +247,7 @@ def near_vectors(rows: DataFrame, similarity: float = 0.9) -> DataFrame:
     empty or zero, or holds a null or non-finite component, has 0 links and is its own component.
     Equal vectors are compared once and count as often as they come. Rows that repeat a
     vec_id are one node, whose links are those of all its vectors; n_links is the
-    row's own vector's. Without vec_id, component_id is null and the row is kept. Only
+    row's own vector's. A row without vec_id takes no part: n_links and component_id are null and it is kept. Only
     vec_id and embedding are read.
     """
     spark = rows.sparkSession
@@ -253,6 +263,9 @@ def near_vectors(rows: DataFrame, similarity: float = 0.9) -> DataFrame:
     for d in {len(r.vector) for r in few}:
         pivots[d] = _unit(np.array([r.vector for r in few if len(r.vector) == d]))
 
+    def reach(dim: int) -> float:
+        return math.sqrt(2 - 2 * similarity) + slack(dim)
+
     def nearest(batches):
         for b in batches:
             x = b["vector"].tolist()
@@ -275,23 +288,25 @@ def near_vectors(rows: DataFrame, similarity: float = 0.9) -> DataFrame:
         return g.iloc[order].assign(path=list(path), place=np.arange(len(g), dtype=np.int32))
 
     trees = written(by_group(dealt.select("dim", "cell", "part", "rep", "weight", "vector", "dist"), ["dim", "cell", "part"], ["rep"], tree, "dim int, cell int, part int, rep long, weight long, vector array<double>, dist double, path array<int>, place int"), "trees")
-    # a row for each block of thousands of vectors; which of them meet is settled here
-    blocks = trees.groupBy("dim", "cell", "part").agg(F.max("dist").alias("radius")).orderBy("dim", "cell", "part").collect()
-    bound = math.sqrt(2 - 2 * similarity) + 1e-9
-    apart = {d: np.sqrt(np.maximum(2 - 2 * p @ p.T, 0)) for d, p in pivots.items()}
-    dim, cell, radius = np.array([(b.dim, b.cell) for b in blocks], np.int64).reshape(-1, 2).T.tolist() + [np.array([b.radius for b in blocks])]
-    dim, cell = np.array(dim), np.array(cell)
-    meet = []
-    for i, p in enumerate(blocks):
-        later = np.arange(i, len(blocks))
-        later = later[dim[later] == p.dim]
-        if p.dim in apart:
-            later = later[apart[p.dim][p.cell][cell[later]] - p.radius - radius[later] <= bound]
-        for j in later.tolist():
-            q, pair = blocks[j], i * len(blocks) + j
-            meet += [(p.dim, p.cell, p.part, pair, 0, i == j)] + ([(q.dim, q.cell, q.part, pair, 1, False)] if i != j else [])
-    pairs = spark.createDataFrame(meet, "dim int, cell int, part int, pair long, side int, own boolean")
-    found = written(by_group(trees.drop("dist").join(pairs, ["dim", "cell", "part"]), ["pair"], ["side", "place"], _links(similarity), "rep long, links long, root long"), "links")
+    # which cells may hold vectors that link is settled here, at most PIVOTS ** 2 / 2 pairs; which of their blocks, by joins
+    blocks = written(trees.groupBy("dim", "cell", "part").agg(F.max("dist").alias("radius")), "blocks")
+    cells = blocks.groupBy("dim", "cell").agg(F.max("radius").alias("radius")).orderBy("dim", "cell").toPandas()
+    near = []
+    for d, g in cells.groupby("dim"):
+        c, r = g["cell"].to_numpy(), g["radius"].to_numpy()
+        gap = np.sqrt(np.maximum(2 - 2 * pivots[d] @ pivots[d].T, 0))[np.ix_(c, c)] if d in pivots else np.zeros((1, 1))
+        np.fill_diagonal(gap, 0)
+        i, j = np.nonzero(np.triu(gap - r[:, None] - r[None] <= reach(d)))
+        near.append(pd.DataFrame({"dim": np.full(len(i), d, np.int32), "c1": c[i], "c2": c[j], "gap": gap[i, j]}))
+    pairs = spark.createDataFrame(pd.concat(near), "dim int, c1 int, c2 int, gap double") if near else spark.createDataFrame([], "dim int, c1 int, c2 int, gap double")
+    side = lambda k: blocks.select("dim", F.col("cell").alias(f"c{k}"), F.col("part").alias(f"p{k}"), F.col("radius").alias(f"r{k}"))
+    pairs = pairs.join(side(1), ["dim", "c1"]).join(side(2), ["dim", "c2"]).where("c1 < c2 or p1 <= p2")
+    pairs = pairs.where(F.col("gap") - F.col("r1") - F.col("r2") <= math.sqrt(2 - 2 * similarity) + F.lit(4e-7) + F.sqrt(F.col("dim")) * F.lit(1e-7)).withColumn("own", F.expr("c1 = c2 and p1 = p2"))
+    key = ["dim", "c1", "p1", "c2", "p2"]
+    one = pairs.select(*key, "own", F.lit(0).alias("side"), F.col("c1").alias("cell"), F.col("p1").alias("part"))
+    two = pairs.where("not own").select(*key, "own", F.lit(1).alias("side"), F.col("c2").alias("cell"), F.col("p2").alias("part"))
+    met = trees.drop("dist").join(one.unionByName(two), ["dim", "cell", "part"])
+    found = written(by_group(met, key, ["side", "place"], _links(similarity), "rep long, links long, root long"), "links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     spans = member.groupBy("vec_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least <> most").select("vec_id", "least")
     ties = member.join(spans, "vec_id").select(F.col("least").alias("u"), F.col("rep").alias("v"))

@@ -188,7 +188,8 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
 
     Alternating large-star and small-star rounds: each round is an aggregate and a join
     over the links, so a component of any size and depth needs few rounds and no task
-    holds one component. Partitions contract their own links first. Each round is
+    holds one component. A node of very many links, of which there can be few, is looked up
+    by broadcast, so its links stay spread. Partitions contract their own links first. Each round is
     written to the shared folder, which bounds lineage.
     """
     spark = edges.sparkSession
@@ -217,8 +218,12 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
             break
         # large star: every neighbour above u goes to the smallest neighbour of u
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        many = max(1000, is_now[0] // 1000)
+        hubs, rest = F.broadcast(least.where(F.col("n") > many)), least.where(F.col("n") <= many)  # at most 2,000 hubs
+        up = both.where("v > u")
+        joined = up.join(hubs, "u").unionByName(up.join(hubs.select("u"), "u", "left_anti").join(rest, "u"))
+        large = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: every smaller neighbour of u, and u, go to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))

@@ -52,7 +52,7 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_components_of_chains_and_stars(spark):
     r = random.Random(2)
-    links = [(i, i + 1) for i in range(100, 400)] + [(500, i) for i in range(501, 700)] + [(r.randrange(1000, 1200), r.randrange(1000, 1200)) for _ in range(150)] + [(7, 7)]
+    links = [(i, i + 1) for i in range(100, 400)] + [(500, i) for i in range(501, 700)] + [(2000 + i % 3, i) for i in range(3000, 6000)] + [(2000, 2001)] + [(r.randrange(1000, 1200), r.randrange(1000, 1200)) for _ in range(150)] + [(7, 7)]
     r.shuffle(links)
     got = {x.node: x.component for x in components(spark.createDataFrame(links, "u long, v long").repartition(13)).collect()}
     want = roots({n for e in links for n in e}, links)
@@ -148,6 +148,47 @@ def test_cover_tree_against_all_pairs(spark, monkeypatch):
     assert got == {i: (int(near[k].sum()), comp[i]) for k, i in enumerate(ids)}
 
 
+def test_dual_traversal_prunes(monkeypatch):
+    """Clusters far from each other: few of all pairs are looked at, and none is lost."""
+    g = np.random.default_rng(3)
+    centres = g.standard_normal((60, 32))
+    x = cover_tree._unit(np.concatenate([c + 0.02 * g.standard_normal((100, 32)) for c in centres]))
+    order, path = cover_tree.grow(x)
+    x = x[order]
+    t = cover_tree.Tree(x, path, np.ones(len(x)))
+    seen = [0]
+    einsum = np.einsum
+
+    def counted(how, a, b):
+        seen[0] += len(a)
+        return einsum(how, a, b)
+
+    dense = cover_tree._dense
+
+    def counted_dense(a, b, p, q, *rest):
+        seen[0] += len(p) * len(q)
+        return dense(a, b, p, q, *rest)
+
+    monkeypatch.setattr(cover_tree.np, "einsum", counted)
+    monkeypatch.setattr(cover_tree, "_dense", counted_dense)
+    (si, _), (wi, wj) = cover_tree.dual(t, t, 0.9)
+    monkeypatch.undo()
+    n = t.end - t.begin
+    whole = np.where(wi == wj, n[wi] * (n[wi] - 1) // 2, n[wi] * n[wj]).sum()
+    assert len(si) + whole == (np.triu(x @ x.T, 1) >= 0.9).sum()
+    assert seen[0] < len(x) ** 2 / 2 / 50
+
+
+def test_planted_links_among_many_vectors(spark):
+    g = np.random.default_rng(9)
+    x = g.standard_normal((30_000, 48)).astype(np.float32)
+    for k in range(200):  # 150 * k links to the row after it
+        x[150 * k + 1] = x[150 * k] + 0.2 * g.standard_normal(48)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {(r.vec_id, r.component_id) for r in cover_tree.near_vectors(df, 0.9).where("n_links > 0").collect()}
+    assert {150 * k for k in range(200)} == {c for i, c in got if i == c} and len(got) == 400
+
+
 def test_lines_against_brute_force(spark):
     r = random.Random(1)
     base = ["".join(r.choice("abé ") for _ in range(r.choice((18, 18, 70, 200)))) + f"xyzzy{k}" for k in range(20)]
