@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import parts, release
-from .tokens import encoder
+from .tokens import PART, encoder
 
 SEQUENCE = 4096
 BLOCK = 1 << 22
@@ -106,7 +106,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
         for b in batches:
             ids = b["doc_id"].to_pylist()
             texts = b["text"].to_pylist()
-            for lo, hi in parts(texts):
+            for lo, hi in parts(texts, PART):
                 for d, x in zip(ids[lo:hi], e.documents(texts[lo:hi], end_id), strict=True):
                     held.append(x.astype(e.dtype))
                     names.append(d)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import new_path, parts, release, written
-from .tokens import encoder
+from .tokens import PART, encoder
 
 MAGIC = b"CWTOK01\n"
 #: The dictionary is trained on the documents with the least hashes: at most so many, of so many characters together.
@@ -188,7 +188,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
         for b in batches:
             ids = b["doc_id"].to_pylist()
             texts = b["text"].to_pylist()
-            for lo, hi in parts(texts):
+            for lo, hi in parts(texts, PART):
                 if out is None:
                     out = ShardWriter(f"{path}/{SHARD % shard}", dictionary, e.dtype)
                 for d, x in zip(ids[lo:hi], e.documents(texts[lo:hi], end_id), strict=True):
