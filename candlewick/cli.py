@@ -21,7 +21,7 @@ from .plans.chunks import Stage, parse_chunk_size
 from .plans.documents import plain
 from .plans.ingest import DownloadPipeline
 from .plans.status import ComparisonThresholds, QualityStatus, QualityThresholds
-from .plans.verification import ComparisonStore, VerificationStore, check_download, check_source, run_stage
+from .plans.verification import ComparisonStore, VerificationStore, check_source, permission_for_range, run_stage
 from .session import get_session
 from .sources.base import CandleSource, ProviderError
 from .sources.csv import CsvSource
@@ -82,7 +82,7 @@ def build_parser() -> argparse.ArgumentParser:
             for k, v in roots.items():
                 c.add_argument(k, default=v)
             c.add_argument("--calendar", choices=sorted(CALENDARS), default="forex")
-            c.add_argument("--chunk-size", type=chunk, default=parse_chunk_size("1mo"))
+            c.add_argument("--chunk-size", type=chunk, default=parse_chunk_size("1month"))
             c.add_argument("--force-unverified", action="store_true")
         return c
 
@@ -133,11 +133,11 @@ def listing(title: str, items: list[str], total: int | None = None) -> list[str]
 
 
 def _download(spark: SparkSession, a: argparse.Namespace, source: CandleSource) -> int:
-    guard = check_download(VerificationStore(a.verification_root), provider=source.name, configuration=source.configuration(), symbol=a.symbol, timeframe=a.timeframe, start=a.start, end=a.end, override=a.force_unverified)
-    if not guard.allowed:
-        print(f"refused: {guard.reason}", file=sys.stderr)
+    guard = permission_for_range(VerificationStore(a.verification_root), a.start, a.end, provider=source.name, configuration=source.configuration(), symbol=a.symbol, timeframe=a.timeframe, forced=a.force_unverified)
+    if not guard.granted:
+        print(f"refused: {guard.explain()}", file=sys.stderr)
         return 2
-    pipe = DownloadPipeline(spark, source, output_root=a.output_root, manifest_root=a.manifest_root, quality_root=a.quality_root, checkpoint_root=a.checkpoint_root, calendar=get_calendar(a.calendar), chunk_size=a.chunk_size, strict=a.strict, verification=guard.reason if guard.required else None, unverified_override=guard.overridden)
+    pipe = DownloadPipeline(spark, source, output_root=a.output_root, manifest_root=a.manifest_root, quality_root=a.quality_root, checkpoint_root=a.checkpoint_root, calendar=get_calendar(a.calendar), chunk_size=a.chunk_size, strict=a.strict, verification=guard.explain() if guard.proofs else None, unverified_override=guard.unverified)
     r = pipe.run(symbol=a.symbol, start=a.start, end=a.end, timeframe=a.timeframe, resume=not a.no_resume)
     show(a, r, [f"{r.symbol} {r.timeframe} from {r.provider}: {r.quality.status.value}", f"downloaded {r.downloaded_count}, out of range {r.out_of_range_count}, invalid {r.invalid_count}, duplicates {r.duplicate_count}, stored {r.retained_count}", f"chunks {r.chunks_completed} of {r.chunks_total} completed, {r.chunks_skipped} skipped, {r.chunks_failed} failed", f"{stamp(r.actual_start)} -> {stamp(r.actual_end)}", *listing("missing intervals", [f"{stamp(g.start)} -> {stamp(g.end)} ({g.missing_candles})" for g in r.quality.missing_intervals], r.quality.missing_interval_count), *listing("failures", r.failures), f"manifest {r.manifest}"])
     return 1 if r.chunks_failed else 0
@@ -166,7 +166,7 @@ def _check(a: argparse.Namespace, source: CandleSource) -> int:
 
 def _stage(spark: SparkSession, a: argparse.Namespace, source: CandleSource, live: bool) -> int:
     r = run_stage(spark, source, stage=Stage(a.stage), symbol=a.symbol, start=a.start, end=a.end, timeframe=a.timeframe, data_root=a.output_root, manifest_root=a.manifest_root, quality_root=a.quality_root, checkpoint_root=a.checkpoint_root, verification_root=a.verification_root, calendar=get_calendar(a.calendar), chunk_size=a.chunk_size, thresholds=QualityThresholds(a.missing_warn_ratio, a.missing_fail_ratio), live=live, override=a.force_unverified)
-    show(a, r, [f"{r.stage.value}: {r.status.value}", r.guard.reason, *listing("problems", r.problems), *([f"record {r.record_path}"] if r.record_path else [])])
+    show(a, r, [f"{r.stage.value}: {r.status.value}", r.guard.explain(), *listing("problems", r.problems), *([f"record {r.record_path}"] if r.record_path else [])])
     return 0 if r.status.verified else 1
 
 

@@ -66,7 +66,7 @@ class QualityThresholds:
         return grade(missing / expected, self.missing_warn_ratio, self.missing_fail_ratio) if expected else Status.FAIL
 
     def describe(self) -> str:
-        return f"missing candles warn above {self.missing_warn_ratio:.2%}, fail above {self.missing_fail_ratio:.2%}; structural defects always fail"
+        return f"up to {self.missing_warn_ratio:.2%} of candles missing passes, up to {self.missing_fail_ratio:.2%} warns; any other defect fails"
 
 
 @dataclass(frozen=True)
@@ -98,5 +98,5 @@ class ComparisonThresholds:
         return fingerprint(self.configuration())
 
     def describe(self) -> str:
-        p = lambda k: f"warn above {getattr(self, k + '_warn_ratio'):.2%} and fail above {getattr(self, k + '_fail_ratio'):.2%}"
-        return f"prices agree within {self.price_tolerance} relative, {p('price_mismatch')}; volumes within {self.volume_tolerance}, {p('volume_mismatch')}; coverage differences {p('missing')}; duplicate timestamps and unreadable files always fail"
+        up_to = lambda k: f"{getattr(self, k + '_warn_ratio'):.2%} passes, {getattr(self, k + '_fail_ratio'):.2%} warns"
+        return f"prices off by over {self.price_tolerance} of their size: {up_to('price_mismatch')}; volumes off by over {self.volume_tolerance}: {up_to('volume_mismatch')}; candles on one side only: {up_to('missing')}; repeated stamps and files that can't be read fail"

@@ -18,7 +18,7 @@ from .operators.calendars import AlwaysOpen, WeeklyCalendar, complement, merged
 from .operators.gaps import differences, plain_gaps, session_gaps, totals
 from .operators.reports import audit, manifest_counts
 from .operators.rows import classify, duplicates, keep_last, late, merge, seams, valid
-from .plans.chunks import MonthSize, SpanSize, plan_chunks, stage_for_range
+from .plans.chunks import ChunkSize, plan_chunks, stage_of
 from .plans.status import ComparisonThresholds, QualityStatus, grade
 from .schema import CANDLE, PRICES
 
@@ -410,12 +410,12 @@ def _grid_sql(bounds: str) -> str:
 
 @query(_grid_sql("SELECT epoch_us(unnest(generate_series(TIMESTAMP '2019-01-01', TIMESTAMP '2021-01-01', INTERVAL 3 MONTH))) AS x"))
 def chunk_grid_month(spark, d):
-    return _grid(spark, MonthSize(3))
+    return _grid(spark, ChunkSize(3))
 
 
 @query(_grid_sql(f"SELECT unnest(range(0, {micros(_CHUNKED[1])}, {14 * DAY})) AS x"))
 def chunk_grid_duration(spark, d):
-    return _grid(spark, SpanSize(2, "w"))
+    return _grid(spark, ChunkSize(2, "w"))
 
 
 _HOURS = (1, 2, 24, 25, 31 * 24, 31 * 24 + 1)
@@ -425,7 +425,7 @@ _HOURS = (1, 2, 24, 25, 31 * 24, 31 * 24 + 1)
 def stage_of_range(spark, d):
     from datetime import timedelta
 
-    return spark.createDataFrame([(h, stage_for_range(START, START + timedelta(hours=h)).value) for h in _HOURS], "hours int, stage string")
+    return spark.createDataFrame([(h, stage_of(START, START + timedelta(hours=h)).value) for h in _HOURS], "hours int, stage string")
 
 
 @query("SELECT c AS candidate, CASE WHEN c / 1000.0 > 0.01 THEN 'fail' WHEN c > 0 THEN 'warn' ELSE 'pass' END AS status FROM (SELECT unnest([0, 1, 10, 11]) AS c)")

@@ -8,11 +8,11 @@ from conftest import T0, row
 from candlewick.cli import main
 from candlewick.operators.calendars import AlwaysOpen, WeeklyCalendar
 from candlewick.operators.reports import compare_datasets, validate_dataset
-from candlewick.plans.chunks import MonthSize, SpanSize, Stage, add_months, parse_chunk_size, plan_chunks, stage_end, stage_for_range
+from candlewick.plans.chunks import ChunkSize, Stage, months_later, parse_chunk_size, plan_chunks, stage_of, window_of
 from candlewick.plans.documents import fingerprint, load, plain
 from candlewick.plans.ingest import Checkpoint, CheckpointStore, DownloadPipeline, carry_over
 from candlewick.plans.status import ComparisonThresholds, QualityStatus, QualityThresholds, Status, worst
-from candlewick.plans.verification import ComparisonStore, VerificationRecord, VerificationStore, check_download, check_source, run_stage
+from candlewick.plans.verification import ComparisonStore, VerificationRecord, VerificationStore, check_source, permission_for_range, run_stage
 from candlewick.sources.base import ProviderDataError, ProviderRateLimitError, status_error
 from candlewick.sources.csv import CsvProviderError, CsvSource
 from candlewick.sources.http import PagedHttpSource
@@ -117,7 +117,7 @@ def test_download_adds_up_and_resumes(spark, tmp_path, roots):
 
 def test_a_failed_chunk_leaves_the_others(spark, tmp_path, roots):
     src = CsvSource(spark, csv_file(tmp_path / "EUR_USD_1min.csv", [line(0), line(0, start=datetime(2026, 9, 2, tzinfo=UTC)) + ",9"]))
-    r = DownloadPipeline(spark, src, chunk_size=MonthSize(), **roots).run(symbol=S, start=T0, end=datetime(2026, 9, 10, tzinfo=UTC))
+    r = DownloadPipeline(spark, src, chunk_size=ChunkSize(), **roots).run(symbol=S, start=T0, end=datetime(2026, 9, 10, tzinfo=UTC))
     assert r.chunks_failed == 2 and "CsvProviderError" in r.failures[0] and r.quality.status is QualityStatus.FAILED
 
 
@@ -182,23 +182,30 @@ def test_thresholds_and_order():
 
 def test_chunks_and_stages():
     d = lambda *a: datetime(*a, tzinfo=UTC)
-    got = plan_chunks(d(2019, 11, 15), d(2020, 2, 10), MonthSize())
+    got = plan_chunks(d(2019, 11, 15), d(2020, 2, 10), ChunkSize())
     assert [c.start for c in got] == [d(2019, 11, 15), d(2019, 12, 1), d(2020, 1, 1), d(2020, 2, 1)] and got[-1].end == d(2020, 2, 10)
-    assert [c.start.month for c in plan_chunks(d(2019, 2, 15), d(2019, 11, 1), MonthSize(3))] == [2, 4, 7, 10]
-    assert len(plan_chunks(d(2020, 1, 1, 5), d(2020, 1, 3, 5), SpanSize(1, "d"))) == 3
+    assert [c.start.month for c in plan_chunks(d(2019, 2, 15), d(2019, 11, 1), ChunkSize(3))] == [2, 4, 7, 10]
+    assert len(plan_chunks(d(2020, 1, 1, 5), d(2020, 1, 3, 5), ChunkSize(1, "d"))) == 3
     assert plan_chunks(d(2020, 1, 1), d(2020, 1, 20), parse_chunk_size("2w"))[0].end.weekday() == 3
-    assert add_months(d(2020, 1, 31), 1) == d(2020, 2, 29) and stage_for_range(d(2020, 1, 1), d(2020, 2, 1)) is Stage.MONTHLY and stage_for_range(d(2020, 1, 1), d(2020, 2, 1, 1)) is Stage.HISTORICAL
-    for bad in ("", "0d", "5y", "-1d"):
+    assert months_later(d(2020, 1, 31), 1) == d(2020, 2, 29) and stage_of(d(2020, 1, 1), d(2020, 2, 1)) is Stage.MONTHLY and stage_of(d(2020, 1, 1), d(2020, 2, 1, 1)) is Stage.HISTORICAL
+    for size in ("1month", "3months", "7d", "12h", "30min", "2w"):
+        assert parse_chunk_size(size).label == size
+    assert parse_chunk_size(" 6 MONTHS ") == ChunkSize(6) and parse_chunk_size("30min") == ChunkSize(30, "min")
+    assert [c.start.month for c in plan_chunks(d(2019, 12, 15), d(2020, 11, 1), ChunkSize(5))] == [12, 4, 9]
+    assert len(plan_chunks(d(2020, 1, 1), d(2020, 1, 1, 2), ChunkSize(30, "min"))) == 4
+    with pytest.raises(ValueError, match="timezone-aware"):
+        plan_chunks(datetime(2019, 1, 1), d(2019, 2, 1), ChunkSize())  # noqa: DTZ001
+    for bad in ("", "0d", "5y", "-1d", "month", "7", "1.5d", "d7", "0months"):
         with pytest.raises(ValueError):
             parse_chunk_size(bad)
     with pytest.raises(ValueError):
-        stage_end(Stage.HISTORICAL, d(2020, 1, 1))
+        window_of(Stage.HISTORICAL, d(2020, 1, 1))
     with pytest.raises(ValueError):
-        plan_chunks(d(2020, 1, 1), d(2020, 1, 1), MonthSize())
+        plan_chunks(d(2020, 1, 1), d(2020, 1, 1), ChunkSize())
 
 
 def test_checkpoints_match_by_bounds(tmp_path):
-    chunks = plan_chunks(T0, T0 + timedelta(days=3), SpanSize(1, "d"))
+    chunks = plan_chunks(T0, T0 + timedelta(days=3), ChunkSize(1, "d"))
     store = CheckpointStore(str(tmp_path))
     c = store.open(provider="csv", symbol=S, timeframe="1min", start=T0, end=chunks[-1].end, chunks=chunks, chunk_size="1d")
     from candlewick.plans.ingest import ChunkStatus
@@ -207,7 +214,7 @@ def test_checkpoints_match_by_bounds(tmp_path):
     path = store.save(c)
     back = load(Checkpoint, path)
     assert back.chunks[1].complete and len(back.pending()) == 2
-    again = carry_over(back, plan_chunks(T0 + timedelta(days=1), T0 + timedelta(days=3), SpanSize(1, "d")))
+    again = carry_over(back, plan_chunks(T0 + timedelta(days=1), T0 + timedelta(days=3), ChunkSize(1, "d")))
     assert [(x.index, x.complete, x.attempts) for x in again] == [(0, True, 0), (1, False, 2)]
     path.write_text("{")
     assert store.load(S, "1min", T0, chunks[-1].end) is None
@@ -271,11 +278,11 @@ def test_stages_need_their_evidence(spark, roots, tmp_path):
     assert run_stage(spark, src, stage=Stage.DAILY, **more).status is Status.PASS
     store = VerificationStore(str(tmp_path / "v"))
     who = dict(provider="http", configuration=src.configuration(), symbol=S, timeframe="1min")
-    long = check_download(store, start=T0, end=T0 + timedelta(days=400), **who)
-    assert not long.allowed and [s.value for s in long.missing] == ["monthly"]
-    assert check_download(store, start=T0, end=T0 + timedelta(days=400), override=True, **who).overridden
-    assert check_download(store, start=T0, end=T0 + timedelta(days=3), **who).allowed
-    assert not check_download(store, start=T0, end=T0 + timedelta(days=400), **who | {"configuration": {"base_url": "other"}}).satisfied
+    long = permission_for_range(store, T0, T0 + timedelta(days=400), **who)
+    assert not long.granted and [s.value for s in long.unproven] == ["monthly"] and "monthly: no valid record" in long.explain()
+    assert permission_for_range(store, T0, T0 + timedelta(days=400), forced=True, **who).unverified
+    assert permission_for_range(store, T0, T0 + timedelta(days=3), **who).granted
+    assert len(permission_for_range(store, T0, T0 + timedelta(days=400), **who | {"configuration": {"base_url": "other"}}).unproven) == 3
     assert fingerprint({"a": "1", "b": "2"}) == fingerprint({"b": "2", "a": "1"})
 
 
