@@ -59,17 +59,6 @@ def in_range(start: datetime | None, end: datetime | None, stamp: str = "timesta
     return out
 
 
-def month_filter(start: datetime | None, end: datetime | None) -> Column:
-    """The same range over the month directories, so that Spark skips those outside; unnamed ones stay."""
-    key = F.concat("year", "month")
-    out = F.lit(True)
-    if start is not None:
-        out = out & (key >= f"{start.astimezone(UTC):%Y%m}")
-    if end is not None:
-        out = out & (key <= f"{end.astimezone(UTC):%Y%m}")
-    return out | F.col("year").isNull() | F.col("month").isNull()
-
-
 def stored(name: str) -> Column:
     """A price or volume as stored: eight places, half to even."""
     return F.bround(F.col(name).cast(PARSED), 8).cast(VOLUME if name == "volume" else PRICE)

@@ -72,17 +72,17 @@ def tally(judged: DataFrame) -> DataFrame:
     return t.select("*", F.coalesce("p.gap", F.lit(0)).alias("max_price_difference"), at("p").alias("max_price_difference_at"), F.coalesce("v.gap", F.lit(0)).alias("max_volume_difference"), at("v").alias("max_volume_difference_at")).drop("p", "v")
 
 
-def field_differences(judged: DataFrame, price_tolerance: str, volume_tolerance: str) -> DataFrame:
-    """(timestamp, position, field, left, right, difference, relative_difference) of each field beyond its tolerance."""
+def field_differences(judged: DataFrame, price_tolerance: str, volume_tolerance: str, keys: tuple[str, ...] = ("timestamp",)) -> DataFrame:
+    """(keys, position, field, left, right, difference, relative_difference) of each field beyond its tolerance."""
     one = lambda i, c, tol: F.when(beyond(F.col(f"l.{c}"), F.col(f"r.{c}"), tol), F.struct(F.lit(i).alias("position"), F.lit(c).alias("field"), F.col(f"l.{c}").cast("decimal(28,8)").alias("left"), F.col(f"r.{c}").cast("decimal(28,8)").alias("right")))
     parts = [one(i, c, volume_tolerance if c == "volume" else price_tolerance) for i, c in enumerate(FIELDS)]
-    rows = judged.where("price_off or volume_off").select("timestamp", F.explode(F.array_compact(F.array(*parts))).alias("d")).select("timestamp", "d.*")
+    rows = judged.where("price_off or volume_off").select(*keys, F.explode(F.array_compact(F.array(*parts))).alias("d")).select(*keys, "d.*")
     return rows.withColumn("difference", (F.col("left") - F.col("right")).cast("decimal(28,8)")).withColumn("relative_difference", relative_difference(F.col("left"), F.col("right")))
 
 
-def first_differences(differences: DataFrame, limit: int = SAMPLE) -> DataFrame:
-    """A report's sample: the first by time, open to volume within a candle."""
-    return differences.orderBy("timestamp", "position").limit(limit)
+def first_differences(differences: DataFrame, limit: int = SAMPLE, keys: tuple[str, ...] = ("timestamp",)) -> DataFrame:
+    """A report's sample: the first by keys, open to volume within a candle."""
+    return differences.orderBy(*keys, "position").limit(limit)
 
 
 def missing(judged: DataFrame, side: str, limit: int = SAMPLE) -> DataFrame:

@@ -1,8 +1,9 @@
 """Missing candles: gaps of a whole feed, and of each trading session.
 
 All stamps are microseconds from the epoch (``us``) and ``k`` is the series. A window is
-always partitioned by series and session, so its tasks grow with the series, not the
-table.
+partitioned by series, session and ``SPAN``; the last stamp of each span, a row a month, is
+carried to the next. So a series of any length spreads over tasks. Stamps find their
+interval by an equi-join on spans.
 """
 
 from __future__ import annotations
@@ -17,21 +18,40 @@ def _out(df: DataFrame, start: str, end: str, missing: str, where: str = "missin
     return df.select("k", F.expr(start).alias("gap_start"), F.expr(end).alias("gap_end"), F.expr(missing).cast("long").alias("missing")).where(where)
 
 
-def plain_gaps(stamps: DataFrame, cadence: int, start: int | None = None, end: int | None = None) -> DataFrame:
+SPAN = 30 * 86_400_000_000
+
+
+def within(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """rows (us) beside each of the windows (s, e) that they are in, half-open."""
+    spans = windows.where("s < e").withColumn("__span", F.explode(F.sequence(F.floor(F.col("s") / SPAN), F.floor((F.col("e") - 1) / SPAN))))
+    return rows.withColumn("__span", F.floor(F.col("us") / SPAN)).join(spans, "__span").where("us >= s and us < e").drop("__span")
+
+
+def previous(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``prev``, the stamp before (an equal one, if stamps repeat); null for a key's first."""
+    rows = rows.withColumn("__span", F.floor(F.col("us") / SPAN))
+    tops = rows.groupBy(*keys, "__span").agg(F.max("us").alias("__top"))
+    carried = tops.select(*keys, "__span", F.lag("__top").over(Window.partitionBy(*keys).orderBy("__span")).alias("__carried"))
+    own = F.lag("us").over(Window.partitionBy(*keys, "__span").orderBy("us"))
+    return rows.withColumn("__own", own).join(carried, [*keys, "__span"]).withColumn("prev", F.coalesce("__own", "__carried")).drop("__span", "__own", "__carried")
+
+
+def plain_gaps(stamps: DataFrame, cadence: int, start: int | None = None, end: int | None = None, series: DataFrame | None = None) -> DataFrame:
     """(k, gap_start, gap_end, missing) between the distinct stamps of a series; with start and end also at the edges.
 
-    A series without a stamp has no row to tell of it; ``empty_gap`` gives its gap.
+    With ``series`` (k) and both ends, a series without a stamp is one gap, from start to end.
     """
-    once = stamps.select("k", "us").distinct()
     c = cadence
-    step = once.withColumn("prev", F.lag("us").over(Window.partitionBy("k").orderBy("us")))
-    out = _out(step.where("prev is not null"), f"prev + {c}", "us", f"(us - prev) div {c} - 1")
+    rows = stamps.select("k", "us")
+    out = _out(previous(rows, ["k"]), f"prev + {c}", "us", f"(us - prev) div {c} - 1")
     if start is not None or end is not None:
-        ends = once.groupBy("k").agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
+        ends = rows.groupBy("k").agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
         if start is not None:
             out = out.unionByName(_out(ends, f"{start}L", "lo", f"(lo - {start}) div {c}"))
         if end is not None:
             out = out.unionByName(_out(ends, f"hi + {c}", f"{end}L", f"({end} - hi - {c}) div {c}"))
+        if series is not None and start is not None and end is not None and start < end:
+            out = out.unionByName(_out(series.select("k").distinct().join(ends, "k", "left_anti"), f"{start}L", f"{end}L", f"({end} - {start}) div {c}", "true"))
     return out
 
 
@@ -39,16 +59,14 @@ def session_gaps(stamps: DataFrame, sessions: DataFrame, series: DataFrame, cade
     """(k, sid, gap_start, gap_end, missing) within each session (sid, s, e) of each series (k).
 
     At a session's start, between stamps, at its end; a session without a stamp is one gap,
-    even where no candle fits. Stamps outside sessions count for nothing. Sessions and
-    series are a calendar and its symbols: a week or a symbol each, and broadcast.
+    even where no candle fits. Stamps outside sessions count for nothing. Sessions are a
+    calendar's, about one a week, and each series has each of them.
     """
     c = cadence
-    slots = F.broadcast(sessions)
-    inside = stamps.select("k", "us").join(slots, (F.col("us") >= F.col("s")) & (F.col("us") < F.col("e")))
-    x = inside.withColumn("prev", F.lag("us").over(Window.partitionBy("k", "sid").orderBy("us")))
-    m = inside.groupBy("k", "sid", "s", "e").agg(F.max("us").alias("mx"))
+    x = previous(within(stamps.select("k", "us"), sessions), ["k", "sid", "s", "e"])
+    m = x.groupBy("k", "sid", "s", "e").agg(F.max("us").alias("mx"))
     pick = lambda df, a, b, n, keep="missing > 0": df.select("k", "sid", F.expr(a).alias("gap_start"), F.expr(b).alias("gap_end"), F.expr(n).cast("long").alias("missing")).where(keep)
-    every = series.select("k").distinct().join(slots)
+    every = series.select("k").distinct().withColumn("sid", F.explode(F.array(*[F.lit(r.sid) for r in sessions.select("sid").collect()]).cast("array<int>"))).join(sessions, "sid")
     return (
         pick(x.where("prev is null and us > s"), "s", "us", f"(us - s) div {c}")
         .unionByName(pick(x.where(f"us - prev > {c}"), f"prev + {c}", "us", f"(us - prev) div {c} - 1"))

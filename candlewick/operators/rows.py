@@ -37,13 +37,13 @@ def require_valid(df: DataFrame) -> DataFrame:
 
 
 def keep_last(df: DataFrame, order: list[str | Column], keys: tuple[str, ...] = ("symbol", "timestamp")) -> DataFrame:
-    """The last row of each key in the given order.
+    """The last row of each key in the given order; of rows equal in it, the greatest by their other columns.
 
     An aggregate rather than a window: partial results are merged before the shuffle, so
     a key with many repeats never fills a task.
     """
     rest = [c for c in df.columns if c not in keys]
-    place = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
+    place = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order], *[F.col(c) for c in rest])
     out = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), place).alias("__row"))
     return out.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
@@ -70,7 +70,7 @@ def late(df: DataFrame, group: str, stamp: str = "us") -> DataFrame:
     tops = df.groupBy(group).agg(F.max(stamp).alias("__top"))
     before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     tops = tops.select(group, F.max("__top").over(before).alias("__before"))
-    return df.join(F.broadcast(tops), group).withColumn("late", F.coalesce(F.col(stamp) < F.col("__before"), F.lit(False))).drop("__before")
+    return df.join(tops, group).withColumn("late", F.coalesce(F.col(stamp) < F.col("__before"), F.lit(False))).drop("__before")
 
 
 def seams(df: DataFrame, group: str, stamp: str = "us") -> DataFrame:
@@ -78,3 +78,14 @@ def seams(df: DataFrame, group: str, stamp: str = "us") -> DataFrame:
     ends = df.groupBy(group).agg(F.min(stamp).alias("lo"), F.max(stamp).alias("hi"))
     prev = F.lag("hi").over(Window.orderBy(group))  # a row for each group
     return ends.select(group, F.when(F.col("lo") < prev, 1).otherwise(0).alias("unordered"))
+
+
+def misfiled(df: DataFrame) -> DataFrame:
+    """Rows (timestamp, claimed) whose file claims another month than theirs, and whether their own month holds the stamp too.
+
+    Files that name no month (claimed 0) claim nothing.
+    """
+    own = F.year("timestamp") * 100 + F.month("timestamp")
+    away = df.where((F.col("claimed") != 0) & (F.col("claimed") != own))
+    home = df.where(F.col("claimed") == own).select("timestamp").distinct().withColumn("also_home", F.lit(True))
+    return away.join(home, "timestamp", "left").withColumn("also_home", F.coalesce("also_home", F.lit(False)))

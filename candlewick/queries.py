@@ -7,7 +7,7 @@ stand for UTC; queries return microseconds or text, which both engines write ali
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from .functions.columns import at_micros, first_violation, in_range, micros, stored, symbol_of
 from .operators import compare as cmp
 from .operators.calendars import AlwaysOpen, WeeklyCalendar, complement, merged
-from .operators.gaps import differences, plain_gaps, session_gaps, totals
+from .operators.gaps import differences, plain_gaps, session_gaps, totals, within
 from .operators.reports import audit, manifest_counts
-from .operators.rows import classify, duplicates, keep_last, late, merge, seams, valid
+from .operators.rows import classify, duplicates, keep_last, late, merge, misfiled, seams, valid
 from .plans.chunks import ChunkSize, plan_chunks, stage_of
 from .plans.status import ComparisonThresholds, QualityStatus, grade
+from .plans.verification import stitch_counts
 from .schema import CANDLE, PRICES
 
 START, END = datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 31, tzinfo=UTC)
@@ -160,7 +161,12 @@ _FILED = "f AS (SELECT o_orderkey, o_orderdate AS stamp, CASE WHEN o_orderkey %
 
 @query(f"WITH {_FILED} SELECT o_orderkey, claimed FROM f WHERE claimed <> strftime(stamp, '%Y%m')::INT")
 def misfiled_rows(spark, d):
-    return _filed(spark, d).where(F.col("claimed") != F.year("timestamp") * 100 + F.month("timestamp")).select("o_orderkey", "claimed")
+    return misfiled(_filed(spark, d)).select("o_orderkey", "claimed")
+
+
+@query(f"WITH {_FILED}, m AS (SELECT *, strftime(stamp, '%Y%m')::INT AS own FROM f) SELECT o_orderkey, stamp IN (SELECT stamp FROM m WHERE claimed = own) AS also_home FROM m WHERE claimed <> own")
+def misfiled_also_home(spark, d):
+    return misfiled(_filed(spark, d)).select("o_orderkey", "also_home")
 
 
 @query(f"WITH {_FILED}, g AS (SELECT claimed, min(stamp) AS lo, max(stamp) AS hi FROM f GROUP BY 1) SELECT claimed AS \"group\", CASE WHEN lo < lag(hi) OVER (ORDER BY claimed) THEN 1 ELSE 0 END AS unordered FROM g")
@@ -223,12 +229,16 @@ def session_gaps_forex(spark, d):
     return session_gaps(c, _sessions(spark, WeeklyCalendar()), c, HOUR)
 
 
-@query(f"WITH {bars_sql('c', 'ts < TIMESTAMP ' + chr(39) + '2024-01-12 00:00:00' + chr(39))}, {_WEEKEND}, {_OPEN}, {_session_sql(_SESSIONS)} SELECT k, sid, gap_start, gap_end, missing FROM found WHERE gap_start = (SELECT s FROM s WHERE s.sid = found.sid) AND gap_end = (SELECT e FROM s WHERE s.sid = found.sid)")
+_LATER = E + 21 * DAY
+_LATE_WEEKEND, _LATE_OPEN = _WEEKEND.replace(str(E), str(_LATER)), _OPEN.replace(str(E), str(_LATER))
+
+
+@query(f"WITH {bars_sql()}, {_LATE_WEEKEND}, {_LATE_OPEN}, {_session_sql(_SESSIONS)} SELECT k, sid, gap_start, gap_end, missing FROM found WHERE gap_start = (SELECT s FROM s WHERE s.sid = found.sid) AND gap_end = (SELECT e FROM s WHERE s.sid = found.sid)")
 def empty_session_gaps(spark, d):
-    c = stamps(candles(spark, d, "ts < timestamp_ntz '2024-01-12 00:00:00'"))
-    s = _sessions(spark, WeeklyCalendar())
-    g = session_gaps(c, s, c, HOUR)
-    return g.join(F.broadcast(s), "sid").where("gap_start = s and gap_end = e").drop("s", "e")
+    """Sessions of a calendar that reaches three weeks beyond the bars."""
+    c = stamps(candles(spark, d))
+    s = _sessions(spark, WeeklyCalendar(), END + timedelta(days=21))
+    return session_gaps(c, s, c, HOUR).join(s, "sid").where("gap_start = s and gap_end = e").drop("s", "e")
 
 
 @query(f"WITH {bars_sql()}, {_PLAIN} SELECT k, count(*) AS gaps, sum(missing)::BIGINT AS missing FROM gaps GROUP BY k")
@@ -271,9 +281,9 @@ def expected_candles(spark, d):
 @query(f"WITH {_WEEKEND} SELECT event_type, count(*) FILTER (NOT EXISTS (SELECT 1 FROM w WHERE epoch_us(ts) >= a AND epoch_us(ts) < b)) AS open_rows, count(*) AS n FROM events GROUP BY 1")
 def is_open_flag(spark, d):
     e = read(spark, d, "events").select("event_type", _us_of(_utc("ts")).alias("us"))
-    s = _sessions(spark, WeeklyCalendar())
-    hit = e.join(F.broadcast(s), (F.col("us") >= F.col("s")) & (F.col("us") < F.col("e")), "left")
-    return hit.groupBy("event_type").agg(F.count("sid").alias("open_rows"), F.count("*").alias("n"))
+    hit = within(e, _sessions(spark, WeeklyCalendar())).groupBy("event_type").agg(F.count("*").alias("open_rows"))
+    n = e.groupBy("event_type").agg(F.count("*").alias("n")).join(hit, "event_type", "left")
+    return n.select("event_type", F.coalesce("open_rows", F.lit(0)).alias("open_rows"), "n")
 
 
 def _us_of(c):
@@ -311,12 +321,15 @@ def manifest_window_counts(spark, d):
     return manifest_counts(stamps(candles(spark, d)), spark.createDataFrame(_WINDOWS, "id int, s long, e long"))
 
 
-def _judged(spark, d, symbol="click"):
-    """All events against nine in ten, of one event type."""
-    left = candles(spark, d, f"event_type = '{symbol}'")
-    right = candles(spark, d, f"event_type = '{symbol}' and event_id % 10 <> 0")
+_SIDES = "event_id % 11 <> 0", "event_id % 10 <> 0"
+_KEYS = ("symbol", "timestamp")
+
+
+def _judged(spark, d):
+    """Bars without every eleventh event against bars without every tenth, of each event type."""
+    left, right = (candles(spark, d, x) for x in _SIDES)
     t = ComparisonThresholds()
-    return cmp.with_verdict(cmp.paired(left, right), str(t.price_tolerance), str(t.volume_tolerance))
+    return cmp.with_verdict(cmp.paired(left, right, keys=_KEYS), str(t.price_tolerance), str(t.volume_tolerance))
 
 
 def _off(c: str, tol: str) -> str:
@@ -325,36 +338,36 @@ def _off(c: str, tol: str) -> str:
 
 _POFF = "(" + " OR ".join(_off(c, "0.0001") for c in PRICES) + ")"
 _VOFF = _off("volume", "0.05")
-_PAIR = f"{bars_sql('l', chr(34) + 'event_type' + chr(34) + ' = ' + chr(39) + 'click' + chr(39))}, {bars_sql('r', 'event_type = ' + chr(39) + 'click' + chr(39) + ' AND event_id % 10 <> 0')}, pairs AS (SELECT coalesce(l.stamp, r.stamp) AS stamp, l.stamp IS NULL AS no_left, r.stamp IS NULL AS no_right, {_POFF} AS price_off, {_VOFF} AS volume_off, greatest({', '.join(f'abs(l.{c} - r.{c})' for c in PRICES)}) AS price_gap, abs(l.volume - r.volume) AS volume_gap, {', '.join(f'l.{c} AS l_{c}, r.{c} AS r_{c}' for c in (*PRICES, 'volume'))} FROM l FULL JOIN r ON l.stamp = r.stamp)"
+_PAIR = f"{bars_sql('l', _SIDES[0])}, {bars_sql('r', _SIDES[1])}, pairs AS (SELECT coalesce(l.symbol, r.symbol) AS symbol, coalesce(l.stamp, r.stamp) AS stamp, l.stamp IS NULL AS no_left, r.stamp IS NULL AS no_right, {_POFF} AS price_off, {_VOFF} AS volume_off, greatest({', '.join(f'abs(l.{c} - r.{c})' for c in PRICES)}) AS price_gap, abs(l.volume - r.volume) AS volume_gap, {', '.join(f'l.{c} AS l_{c}, r.{c} AS r_{c}' for c in (*PRICES, 'volume'))} FROM l FULL JOIN r ON l.stamp = r.stamp AND l.symbol = r.symbol)"
 
 
-@query(f"WITH {_PAIR} SELECT epoch_us(stamp) AS us, NOT price_off AND NOT volume_off AS matching FROM pairs WHERE NOT no_left AND NOT no_right")
+@query(f"WITH {_PAIR} SELECT symbol, epoch_us(stamp) AS us, NOT price_off AND NOT volume_off AS matching FROM pairs WHERE NOT no_left AND NOT no_right")
 def compare_inner_matched(spark, d):
-    return _judged(spark, d).where("not no_left and not no_right").select(_us().alias("us"), F.expr("not price_off and not volume_off").alias("matching"))
+    return _judged(spark, d).where("not no_left and not no_right").select("symbol", _us().alias("us"), F.expr("not price_off and not volume_off").alias("matching"))
 
 
-@query(f"WITH {_PAIR} SELECT epoch_us(stamp) AS us FROM pairs WHERE no_left")
+@query(f"WITH {_PAIR} SELECT symbol, epoch_us(stamp) AS us FROM pairs WHERE no_left")
 def compare_missing_left(spark, d):
-    return _judged(spark, d).where("no_left").select(_us().alias("us"))
+    return _judged(spark, d).where("no_left").select("symbol", _us().alias("us"))
 
 
-@query(f"WITH {_PAIR} SELECT epoch_us(stamp) AS us FROM pairs WHERE no_right")
+@query(f"WITH {_PAIR} SELECT symbol, epoch_us(stamp) AS us FROM pairs WHERE no_right")
 def compare_missing_right(spark, d):
-    return _judged(spark, d).where("no_right").select(_us().alias("us"))
+    return _judged(spark, d).where("no_right").select("symbol", _us().alias("us"))
 
 
-@query(f"WITH {_PAIR} SELECT epoch_us(stamp) AS us, price_off, volume_off FROM pairs WHERE price_off OR volume_off")
+@query(f"WITH {_PAIR} SELECT symbol, epoch_us(stamp) AS us, price_off, volume_off FROM pairs WHERE price_off OR volume_off")
 def compare_relative_mismatch(spark, d):
-    return _judged(spark, d).where("price_off or volume_off").select(_us().alias("us"), "price_off", "volume_off")
+    return _judged(spark, d).where("price_off or volume_off").select("symbol", _us().alias("us"), "price_off", "volume_off")
 
 
-_FIELDS = " UNION ALL ".join(f"SELECT stamp, {i} AS position, '{c}' AS field, l_{c}::DECIMAL(28,8) AS l, r_{c}::DECIMAL(28,8) AS r FROM pairs WHERE abs(l_{c} - r_{c}) > {'0.05' if c == 'volume' else '0.0001'} * greatest(abs(l_{c}), abs(r_{c}))" for i, c in enumerate((*PRICES, "volume")))
+_FIELDS = " UNION ALL ".join(f"SELECT symbol, stamp, {i} AS position, '{c}' AS field, l_{c}::DECIMAL(28,8) AS l, r_{c}::DECIMAL(28,8) AS r FROM pairs WHERE abs(l_{c} - r_{c}) > {'0.05' if c == 'volume' else '0.0001'} * greatest(abs(l_{c}), abs(r_{c}))" for i, c in enumerate((*PRICES, "volume")))
 
 
-@query(f"WITH {_PAIR}, f AS ({_FIELDS}) SELECT epoch_us(stamp) AS us, field, l::VARCHAR AS \"left\", r::VARCHAR AS \"right\", (l - r)::DECIMAL(28,8)::VARCHAR AS difference FROM f ORDER BY stamp, position LIMIT 20")
+@query(f"WITH {_PAIR}, f AS ({_FIELDS}) SELECT symbol, epoch_us(stamp) AS us, field, l::VARCHAR AS \"left\", r::VARCHAR AS \"right\", (l - r)::DECIMAL(28,8)::VARCHAR AS difference FROM f ORDER BY symbol, stamp, position LIMIT 20")
 def compare_field_differences_top20(spark, d):
-    f = cmp.first_differences(cmp.field_differences(_judged(spark, d), "0.0001", "0.05"))
-    return f.select(_us().alias("us"), "field", *[F.col(c).cast("string").alias(c) for c in ("left", "right", "difference")])
+    f = cmp.first_differences(cmp.field_differences(_judged(spark, d), "0.0001", "0.05", _KEYS), keys=_KEYS)
+    return f.select("symbol", _us().alias("us"), "field", *[F.col(c).cast("string").alias(c) for c in ("left", "right", "difference")])
 
 
 @query(f"WITH {_PAIR} SELECT max(price_gap)::DECIMAL(28,8)::VARCHAR AS gap, epoch_us(min(stamp) FILTER (price_gap = (SELECT max(price_gap) FROM pairs))) AS us FROM pairs")
@@ -368,13 +381,13 @@ def compare_volume_mismatch(spark, d):
     return t.select(F.col("volume_mismatches").alias("mismatches"), F.col("max_volume_difference").cast("decimal(28,8)").cast("string").alias("gap"), _us("max_volume_difference_at").alias("us"))
 
 
-_GAPS_OF = lambda t: f"SELECT prev + {HOUR} AS a, us AS b, (us - prev) // {HOUR} - 1 AS missing FROM (SELECT us, lag(us) OVER (ORDER BY us) AS prev FROM (SELECT epoch_us(stamp) AS us FROM {t})) WHERE us - prev > {HOUR} AND (us - prev) // {HOUR} > 1"
+_GAPS_OF = lambda t: f"SELECT symbol AS k, prev + {HOUR} AS a, us AS b, (us - prev) // {HOUR} - 1 AS missing FROM (SELECT symbol, us, lag(us) OVER (PARTITION BY symbol ORDER BY us) AS prev FROM (SELECT symbol, epoch_us(stamp) AS us FROM {t})) WHERE us - prev > {HOUR} AND (us - prev) // {HOUR} > 1"
 
 
-@query(f"WITH {_PAIR}, gl AS ({_GAPS_OF('l')}), gr AS ({_GAPS_OF('r')}) SELECT CASE WHEN gr.a IS NULL THEN 'left' ELSE 'right' END AS side, coalesce(gl.a, gr.a) AS gap_start, coalesce(gl.b, gr.b) AS gap_end, coalesce(gl.missing, gr.missing) AS missing FROM gl FULL JOIN gr ON gl.a = gr.a AND gl.b = gr.b WHERE gl.a IS NULL OR gr.a IS NULL")
+@query(f"WITH {_PAIR}, gl AS ({_GAPS_OF('l')}), gr AS ({_GAPS_OF('r')}) SELECT CASE WHEN gr.a IS NULL THEN 'left' ELSE 'right' END AS side, coalesce(gl.k, gr.k) AS k, coalesce(gl.a, gr.a) AS gap_start, coalesce(gl.b, gr.b) AS gap_end, coalesce(gl.missing, gr.missing) AS missing FROM gl FULL JOIN gr ON gl.k = gr.k AND gl.a = gr.a AND gl.b = gr.b WHERE gl.a IS NULL OR gr.a IS NULL")
 def compare_gap_set_difference(spark, d):
-    side = lambda more: plain_gaps(stamps(candles(spark, d, "event_type = 'click'" + more)), HOUR)
-    return differences(side(""), side(" and event_id % 10 <> 0")).drop("k")
+    left, right = (plain_gaps(stamps(candles(spark, d, x)), HOUR) for x in _SIDES)
+    return differences(left, right)
 
 
 @query(f"WITH {_PAIR}, n AS (SELECT count(*) FILTER (NOT no_left AND NOT no_right) AS c, count(*) FILTER (no_left OR no_right) AS m, count(*) FILTER (price_off) AS p, count(*) FILTER (volume_off) AS v FROM pairs), g AS (SELECT *, greatest(CASE WHEN m / (c + m) > 0.01 THEN 2 WHEN m > 0 THEN 1 ELSE 0 END, CASE WHEN p / c > 0.001 THEN 2 WHEN p > 0 THEN 1 ELSE 0 END, CASE WHEN v > 0 THEN 1 ELSE 0 END) AS k FROM n) SELECT c AS compared, m AS missing, p AS price_mismatches, v AS volume_mismatches, CASE k WHEN 2 THEN 'fail' WHEN 1 THEN 'warn' ELSE 'pass' END AS status FROM g")
@@ -387,13 +400,12 @@ def compare_verdict_ratios(spark, d):
     return n.select(c.alias("compared"), "missing", "price_mismatches", "volume_mismatches", F.when(k == 2, "fail").when(k == 1, "warn").otherwise("pass").alias("status"))
 
 
-@query(f"WITH {bars_sql()}, h AS (SELECT symbol, stamp FROM c WHERE epoch_us(stamp) < {micros(_MID[0])} UNION ALL SELECT symbol, stamp FROM c WHERE epoch_us(stamp) >= {micros(_MID[0])} - {HOUR}), w AS (SELECT symbol, stamp FROM c) SELECT (SELECT count(*) FROM (SELECT * FROM w EXCEPT ALL SELECT * FROM h)) AS lost, (SELECT count(*) FROM (SELECT * FROM h EXCEPT ALL SELECT * FROM w)) AS extra")
+@query(f"WITH {bars_sql()}, h AS (SELECT symbol, stamp FROM c WHERE epoch_us(stamp) < {micros(_MID[0])} UNION ALL SELECT symbol, stamp FROM c WHERE epoch_us(stamp) >= {micros(_MID[0])} - {HOUR}), w AS (SELECT symbol, stamp FROM c) SELECT (SELECT count(*) FROM w) AS stamps, (SELECT count(*) FROM (SELECT * FROM w EXCEPT ALL SELECT * FROM h)) AS lost, (SELECT count(*) FROM (SELECT * FROM h EXCEPT ALL SELECT * FROM w)) AS extra, (SELECT count(*) FROM (SELECT symbol, stamp FROM h GROUP BY ALL HAVING count(*) > 1)) AS repeated")
 def pagination_stitch(spark, d):
     """Halves that overlap by an hour, against the whole."""
     w = candles(spark, d).select("symbol", "timestamp")
     h = w.where(in_range(None, _MID[0])).unionByName(w.where(F.col("timestamp") >= at_micros(micros(_MID[0]) - HOUR)))
-    lost, extra = w.exceptAll(h).agg(F.count("*").alias("lost")), h.exceptAll(w).agg(F.count("*").alias("extra"))
-    return lost.join(extra)
+    return stitch_counts(w, h, ("symbol", "timestamp"))
 
 
 _CHUNKED = datetime(2019, 11, 15, tzinfo=UTC), datetime(2020, 8, 10, tzinfo=UTC)
@@ -423,8 +435,6 @@ _HOURS = (1, 2, 24, 25, 31 * 24, 31 * 24 + 1)
 
 @query(f"SELECT h AS hours, CASE WHEN h <= 1 THEN 'smoke' WHEN h <= 24 THEN 'daily' WHEN TIMESTAMP '2024-01-01' + to_hours(h) <= TIMESTAMP '2024-02-01' THEN 'monthly' ELSE 'historical' END AS stage FROM (SELECT unnest({list(_HOURS)}) AS h)")
 def stage_of_range(spark, d):
-    from datetime import timedelta
-
     return spark.createDataFrame([(h, stage_of(START, START + timedelta(hours=h)).value) for h in _HOURS], "hours int, stage string")
 
 
@@ -456,3 +466,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["flagship"] = flagship
 SQL["flagship"] = f"WITH {bars_sql()}, {_session_sql(f'SELECT 0 AS sid, {S} AS s, {E} AS e')}, g AS (SELECT k, count(*) AS gaps, sum(missing)::BIGINT AS missing FROM found GROUP BY k) SELECT symbol, count(*) AS candles, epoch_us(min(stamp)) AS first, epoch_us(max(stamp)) AS last, coalesce(max(gaps), 0) AS gaps, coalesce(max(missing), 0) AS missing FROM c LEFT JOIN g ON g.k = c.symbol WHERE epoch_us(stamp) >= {S} AND epoch_us(stamp) < {E} GROUP BY symbol"
+
+from . import queries_stored  # noqa: E402, F401  (registers the queries over stored data)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +99,32 @@ class CandleStore:
         files = self.files(symbol, timeframe, start, end)
         return self.scan([str(p) for p in files]).select(*CANDLE.names).where(in_range(start, end))
 
+    def month(self, symbol: str, timeframe: str, year: int, month: int) -> DataFrame:
+        """Candles of one month's files."""
+        return self.scan([str(p) for p in self.files(symbol, timeframe) if month_of(p) == (year, month)]).select(*CANDLE.names)
+
+    def stamps(self, symbol: str, timeframe: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+        """Timestamps in range, in order; of the files only that column is read."""
+        return self.read(symbol, timeframe, start, end).select("timestamp").orderBy("timestamp")
+
+    def bounds(self, paths: list[str]) -> tuple[datetime, datetime] | None:
+        """The least and the greatest stamp by the files' footers; rows are read only of files without statistics."""
+        import pyarrow.parquet as pq
+
+        found, bare = [], []
+        for p in paths:
+            meta = pq.read_metadata(p)
+            at = meta.schema.names.index("timestamp")
+            stats = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups) if meta.row_group(i).num_rows]
+            if all(s is not None and s.has_min_max for s in stats):
+                found += [x for s in stats for x in (s.min, s.max)]
+            else:
+                bare.append(p)
+        if bare:
+            r = self.scan(bare).agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+            found += [x.astimezone(UTC) for x in (r.lo, r.hi) if x is not None]
+        return (min(found), max(found)) if found else None
+
     def has_rows(self, symbol: str, timeframe: str, start: datetime, end: datetime) -> bool:
         """Whether a file that can be read, of a month overlapping the range, has a row."""
         import pyarrow.parquet as pq
