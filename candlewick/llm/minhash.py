@@ -10,17 +10,17 @@
 3. The candidates. In a region of up to ``REGION`` documents, all of them. In a larger one, a
    crowd, the depth adapts: each document meets its longest-common-prefix neighbours, the
    ``REGION / 2`` before and after it at least, which connects most of the crowd cheaply.
-   What is then still in different components meets too: the crowd is cut along its order into
-   blocks, and each pair of blocks is a task. So no task holds a crowd, and no pair is left out.
+   What is then still in different components meets too: each document outside the crowd's
+   largest component meets all others, in pairs of blocks. So no task holds a crowd, and no pair is left out.
    Candidates whose signatures agree as a linked pair's could, five standard deviations
    aside, join a coarse class; only a spanning forest goes out.
 4. Each coarse class gets its full shingle sets once. Candidates in different components are
-   confirmed, the likeliest first, until none is undecided. A class too large for
-   a task is cut into blocks, and each pair of blocks is a task.
+   confirmed, the likeliest first, until none is undecided. A class too large for a task is
+   cut into blocks: first neighbouring blocks meet; then, as in a crowd, what is outside the largest component.
 
 Memory in a task: a range of an order, a region or a pair of blocks. Rows shuffled: in
-proportion to documents; a crowd that stays in several components is shuffled once for each
-of its blocks, and its pairs grow as the square.
+proportion to documents; a crowd's or large class's once for each block of what is outside its largest
+component. Only where no component is large do pairs grow as the square.
 Steps 1 to 3 lose a linked pair with the chance above, or where its signatures agree by five
 standard deviations too little (a chance of 3e-7); step 4 is exact on what they find.
 """
@@ -219,6 +219,30 @@ def walk(batches):
     release()
 
 
+def outsiders(rows: DataFrame, group: str, size: int) -> DataFrame:
+    """Who must still meet in each group of rows (group, component, block, blocks and others) with several components.
+
+    Rows outside the group's largest component are dealt into blocks, ``ob``; each meets
+    every block of the group, ``mb``. Adds ob, mb and ``side``: 0 for those outside, 1 for all.
+    """
+    n = rows.groupBy(group, "component").agg(F.count("*").alias("n"))
+    most = n.groupBy(group).agg(F.max_by("component", F.struct("n", "component")).alias("main"), (F.sum("n") - F.max("n")).alias("out"))
+    rows = rows.join(most.where("out > 0").withColumn("obs", F.ceil(F.col("out") / size).cast("int")).drop("out"), group)
+    span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    own = F.pmod(F.xxhash64(*[c for c in rows.columns if c in ("doc_id", "node")]), F.col("obs")).cast("int")
+    out = rows.where("component <> main").withColumn("ob", own).withColumn("mb", span("blocks")).withColumn("side", F.lit(0))
+    return out.unionByName(rows.withColumn("ob", span("obs")).withColumn("mb", F.col("block")).withColumn("side", F.lit(1))).drop("main", "obs", "blocks", "block")
+
+
+def known(component: pd.Series) -> Union:
+    """Rows of equal components joined."""
+    own = Union(len(component))
+    first: dict[int, int] = {}
+    for i, c in enumerate(component.tolist()):
+        own.join(first.setdefault(c, i), i)
+    return own
+
+
 def forest(reps: DataFrame, cut: float, depth: int) -> DataFrame:
     """Coarse links (u, v) between class representatives (doc_id, sig, low, regions)."""
     n = TREES * depth
@@ -259,22 +283,15 @@ def forest(reps: DataFrame, cut: float, depth: int) -> DataFrame:
     sizes = sizes.select("region", "task", (F.sum("n").over(whole.orderBy("task")) - F.col("n")).alias("before"), F.sum("n").over(whole).alias("total"))
     crowds = crowds.join(sizes, ["region", "task"]).join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     crowds = written(crowds.select("region", "doc_id", "component", F.floor((F.col("before") + F.col("place")) / CROWD_BLOCK).cast("int").alias("block"), F.ceil(F.col("total") / CROWD_BLOCK).cast("int").alias("blocks")), "crowds")
-    apart = crowds.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
-    crowds = crowds.join(apart, "region", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    crowds = crowds.select("region", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "doc_id", "component")
+    crowds = outsiders(crowds, "region", CROWD_BLOCK)
 
     def across(g: pd.DataFrame) -> pd.DataFrame | None:
-        ids, block = g["doc_id"].to_numpy(), g["block"].to_numpy()
+        ids, side = g["doc_id"].to_numpy(), g["side"].to_numpy()
         sig = np.frombuffer(b"".join(g["sig"]), "<u2").reshape(len(g), -1)
-        own = Union(len(g))
-        first = g.groupby("component").cumcount().to_numpy() == 0
-        at = dict(zip(g["component"].to_numpy()[first].tolist(), np.flatnonzero(first).tolist(), strict=True))
-        for i, c in enumerate(g["component"].tolist()):
-            own.join(i, at[c])
-        found = crossing(sig, own, np.flatnonzero(block == g["b1"].iloc[0]), np.flatnonzero(block == g["b2"].iloc[0]), cut)
+        found = crossing(sig, known(g["component"]), np.flatnonzero(side == 0), np.flatnonzero(side == 1), cut)
         return pd.DataFrame(np.sort(ids[np.array(found)], 1), columns=["u", "v"]) if found else None
 
-    more = by_group(crowds.join(reps.select("doc_id", "sig"), "doc_id"), ["region", "b1", "b2"], ["sig"], across, "u long, v long")
+    more = by_group(crowds.join(reps.select("doc_id", "sig"), "doc_id"), ["region", "ob", "mb"], ["sig"], across, "u long, v long")
     return near.unionByName(more).distinct()
 
 
@@ -296,11 +313,11 @@ def confirm(docs: DataFrame, coarse: DataFrame, reps: DataFrame, size: int, perc
         release()
 
     full = texts.mapInPandas(sets, "node long, component long, sig binary, n long, fp1 long, blocks int, shingles binary").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # the pairs of blocks that a document takes part in; one block: itself
-    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    full = full.select("component", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "node", "fp1", "sig", "shingles").dropDuplicates(["component", "b1", "b2", "node", "fp1"])
+    full = full.drop("n")
+    bands = max(1, math.ceil(TREES * depth_for(percent / 100) * (1 - cut)))
 
-    def links(g: pd.DataFrame) -> pd.DataFrame | None:
+    def meeting(g: pd.DataFrame, left: np.ndarray, right: np.ndarray, own: Union) -> pd.DataFrame | None:
+        """Confirmed links between rows of left and right (the same array: each pair once), until all that link are connected."""
         if len(g) < 2:
             return None
         ids = g["node"].to_numpy()
@@ -308,30 +325,49 @@ def confirm(docs: DataFrame, coarse: DataFrame, reps: DataFrame, size: int, perc
         sets = [np.frombuffer(x, np.uint64) for x in g["shingles"]]
         lens = np.array([len(s) for s in sets])
         found = []
-        own = Union(len(g))
-        bands = max(1, math.ceil(sig.shape[1] * (1 - cut)))
         # some documents against all at a time; of their pairs the likeliest first, and what is connected by then needs no look
-        for lo in range(0, len(g), 256):
-            s = agreement(sig[lo : lo + 256], sig)
-            few, many = np.minimum(lens[lo : lo + 256, None], lens[None]), np.maximum(lens[lo : lo + 256, None], lens[None])
-            root = own.roots()
-            a, b = np.nonzero((s >= cut) & (100 * few >= percent * many) & (root[lo : lo + 256, None] != root[None]))
-            up = a + lo < b
-            a, b = a[up], b[up]
+        for lo in range(0, len(left), 256):
+            i, root = left[lo : lo + 256], own.roots()
+            s = agreement(sig[i], sig[right])
+            few, many = np.minimum(lens[i, None], lens[None, right]), np.maximum(lens[i, None], lens[None, right])
+            a, b = np.nonzero((s >= cut) & (100 * few >= percent * many) & (root[i, None] != root[None, right]))
+            if left is right:
+                once = a + lo < b
+                a, b = a[once], b[once]
             band = np.minimum(((1 - s[a, b]) * sig.shape[1] + 0.5).astype(int), bands)
-            a += lo
+            a, b = i[a], right[b]
             for k in np.unique(band):
                 root = own.roots()
-                left = (band == k) & (root[a] != root[b])
-                for i, j in zip(a[left].tolist(), b[left].tolist(), strict=True):
-                    if own.find(i) != own.find(j):
-                        both = overlap(sets[i], sets[j])
-                        if 100 * both >= percent * (int(lens[i]) + int(lens[j]) - both):
-                            own.join(i, j)
-                            found.append((ids[i], ids[j]))
+                rest = (band == k) & (root[a] != root[b])
+                for x, y in zip(a[rest].tolist(), b[rest].tolist(), strict=True):
+                    if own.find(x) != own.find(y):
+                        both = overlap(sets[x], sets[y])
+                        if 100 * both >= percent * (int(lens[x]) + int(lens[y]) - both):
+                            own.join(x, y)
+                            found.append((ids[x], ids[y]))
         return pd.DataFrame(found, columns=["u", "v"]) if found else None
 
-    return by_group(full, ["component", "b1", "b2"], ["node"], links, "u long, v long")
+    def whole(g: pd.DataFrame) -> pd.DataFrame | None:
+        every = np.arange(len(g))
+        return meeting(g, every, every, Union(len(g)))
+
+    def bipartite(g: pd.DataFrame) -> pd.DataFrame | None:
+        side = g["side"].to_numpy()
+        return meeting(g, np.flatnonzero(side == 0), np.flatnonzero(side == 1), known(g["component"]))
+
+    out = "u long, v long"
+    large = written(members.where("blocks > 1").select("component").distinct(), "large")
+    if large.isEmpty():
+        return by_group(full.where("blocks = 1").dropDuplicates(["component", "node", "fp1"]), ["component"], ["node"], whole, out)
+    full = written(full.dropDuplicates(["component", "node", "fp1"]), "shingles")
+    small = by_group(full.where("blocks = 1"), ["component"], ["node"], whole, out)
+    giant = full.where("blocks > 1").withColumnRenamed("component", "class")
+    # a block with the one before it
+    near = written(by_group(giant.withColumn("group", F.explode(F.array(F.col("block"), F.col("block") + 1))), ["class", "group"], ["node"], whole, out), "links")
+    own = components(near, "confirmed")
+    rest = giant.select("class", "node", "fp1", "block", "blocks").join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rest = outsiders(rest, "class", BLOCK_DOCS).join(giant.select("class", "node", "fp1", "sig", "shingles"), ["class", "node", "fp1"])
+    return small.unionByName(near).unionByName(by_group(rest, ["class", "ob", "mb"], ["node"], bipartite, out))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -72,8 +72,11 @@ def test_words_and_shingles():
     assert words.overlap(a, b) == 2
 
 
-def test_near_copies_of_a_crowd(spark):
+@pytest.mark.parametrize("block", [4096, 130])
+def test_near_copies_of_a_crowd(spark, monkeypatch, block):
     """A chain of edits, beyond a region's size, in which only some pairs link."""
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", block)
+    monkeypatch.setattr(minhash, "CROWD_BLOCK", block)
     r = random.Random(3)
     base = [f"w{i}" for i in range(90)]
     texts = []
