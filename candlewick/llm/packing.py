@@ -115,7 +115,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SEQ
                         yield block()
         if n:
             yield block()
-        e.forget()  # a worker that waits between tasks keeps frequent chunks only
         release()
 
     return rows.mapInArrow(work, SCHEMA)

@@ -196,7 +196,6 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
         if out is not None:
             n, tokens = out.close()
             yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (shard, n, tokens)], ["shard", "documents", "tokens"])
-        e.forget()  # a worker that waits between tasks keeps frequent chunks only
         release()
 
     # by hash too, so that texts of one doc_id, or of none, spread over tasks

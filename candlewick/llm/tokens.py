@@ -16,10 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks that a process keeps before it drops those that came once, about 120 MB.
-KEPT = 500_000
+#: Chunks that a process keeps before it drops those that came once, about 170 MB.
+KEPT = 700_000
 #: Characters put together at a time; a longer text is a part of its own.
-PART = 4_000_000
+PART = 8_000_000
 _encoders: dict[str, Encoder] = {}
 
 
