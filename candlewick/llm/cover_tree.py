@@ -32,6 +32,8 @@ from .shared import Union, by_group, components, written
 BLOCK = 8192
 PIVOTS = 1024
 LEVELS = 7  # radii 1, 1/2 ... 1/64 below the root, whose ball of radius 2 holds all
+#: Vectors that a ball of radius 1 must hold to be a node; those in lesser ones share one, whose radius is what it comes to.
+WIDE = 32
 
 
 def slack(dim: int) -> float:
@@ -56,6 +58,9 @@ def grow(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for lo, hi in runs:
             own = order[lo:hi]
             label = _greedy(x[own], least)
+            if level == 0:
+                # a wide ball of a few vectors parts nothing and costs a bound of its own
+                label = np.where(np.bincount(label)[label] < min(WIDE, len(own)), label.max() + 1, label)
             at = np.argsort(label, kind="stable")
             order[lo:hi] = own[at]
             label = label[at]
