@@ -462,6 +462,127 @@ def test_toxicity_on_held_out_texts():
     assert net.score([long])[0] < 0.5 <= net.score([long + " vilewort nastoid vilewort"])[0]
 
 
+def naive_score(net, text):
+    """Word by word and window by window, each window's state by the gates' formulas."""
+    import re
+
+    found = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").lower().encode("utf-8", "surrogatepass"))
+    if not found:
+        return net.empty
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    inputs = {}
+    for w in set(found):
+        h = int(words.segment_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+        marked, rows = b"<" + w + b">", []
+        for k in (3, 4, 5):
+            for i in range(len(marked) - k + 1):
+                v = k
+                for c in marked[i : i + k]:
+                    v = (v * 257 + c) % (1 << 64)
+                rows.append(int(words.mix(np.array([v], np.uint64))[0]) % toxicity.CHAR_ROWS)
+        inputs[w] = np.concatenate([net.word[h % toxicity.WORD_ROWS], net.char[rows].mean(0)]).astype(float)
+    p, n, top = net.p, toxicity.HIDDEN, -np.inf
+    count = 1 + max(0, -(-(len(found) - toxicity.WINDOW) // toxicity.STRIDE))
+    for s in range(count):
+        window = found[s * toxicity.STRIDE : s * toxicity.STRIDE + toxicity.WINDOW]
+        sides = []
+        for k, order in (("f", window), ("b", window[::-1])):
+            h, out = np.zeros(n), []
+            for w in order:
+                g = inputs[w] @ p["w" + k] + p["c" + k]
+                zr = sig(g[: 2 * n] + h @ p["u" + k])
+                z, r = zr[:n], zr[n:]
+                h = z * h + (1 - z) * np.tanh(g[2 * n :] + (r * h) @ p["n" + k])
+                out.append(h)
+            sides.append(out if k == "f" else out[::-1])
+        states = np.concatenate([np.array(sides[0]), np.array(sides[1])], 1)
+        e = np.tanh(states @ p["att"]) @ p["att_v"]
+        a = np.exp(e - e.max())
+        top = max(top, float((a / a.sum()) @ states @ p["out"] + p["bias"][0]))
+    return 1 / (1 + math.exp(-top))
+
+
+def test_toxicity_of_the_table_word_by_word(spark):
+    docs = table(spark, "documents")
+    net = toxicity.fit(docs, table(spark, "labels"))
+    got = {r.doc_id: r.score for r in toxicity.score_documents(docs, net).collect()}
+    for r in docs.collect():
+        assert math.isclose(got[r.doc_id], naive_score(net, r.text), abs_tol=2e-3)
+
+
+def test_long_labelled_texts_are_learnt_from(spark):
+    docs = spark.createDataFrame([(i, "a fair word " * 40_000 if i == 3 else f"text {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    rows = toxicity.sample(docs, labels, "toxic")
+    want = [i for i in range(20) if zlib.crc32(str(i).encode()) % 5]
+    assert len(rows) == len(want) and rows["text"].str.len().max() == (480_000 if 3 in want else 7)
+
+
+def test_label_model_document_by_document(spark):
+    """Votes by plain loops over words; expectation-maximisation over documents rather than patterns; logits by summing weights."""
+    texts = [r.text for r in table(spark, "documents").collect()]
+    m = quality.Measures(texts)
+    votes = m.votes()
+    odd, end = set("#$%&*<>@[]\\^_`{|}~=+!"), set(".,;:?!\"')")
+    for k, t in enumerate(texts):
+        w = (t or "").encode("utf-8", "surrogatepass").split()
+        if not w:
+            assert not votes[k].any()
+            continue
+        chars = [[chr(c) for c in x] for x in w]
+        low = [x.lower() for x in w]
+        share = lambda flags, n=len(w): sum(flags) / n
+        many = len(w) >= 40
+        pairs = list(zip(low, low[1:], strict=False))
+        want = {
+            "odd": share(any(c in odd for c in x) for x in chars),
+            "loud": share(sum("A" <= c <= "Z" for c in x) > 1 and sum("A" <= c <= "Z" for c in x) >= len(x) // 2 for x in chars),
+            "same": share(a == b for a, b in pairs),
+            "distinct": len(set(low)) / len(w) if many else None,
+            "ended": share(x[-1] in end for x in chars) if many else None,
+            "table": share(len(x) == 1 and x[0] in odd for x in chars),
+            "repeats": (len(pairs) - len(set(pairs))) / len(w) if many else None,
+            "digits": share(any("0" <= c <= "9" for c in x) for x in chars),
+        }
+        for j, (name, bad, good, below) in enumerate(quality.LABELLERS):
+            v = want[name]
+            vote = 0 if v is None else (-1 if v <= bad else 1 if v >= good else 0) if below else (-1 if v >= bad else 1 if v < good else 0)
+            assert votes[k, j] == vote, (k, name, v, m.values[k, j])
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    post, rates, prior = quality.estimate(patterns, counts)
+    start, q, p = (0.01, 0.30), [[0.01] * 8, [0.30] * 8], 0.85
+    for _ in range(300):
+        each = []
+        for v in votes.tolist():
+            like = [p, 1 - p]
+            for c in (0, 1):
+                for k, x in enumerate(v):
+                    like[c] *= q[c][k] if x == -1 else 1 - q[c][k] if x == 1 else 1
+            each.append(like[0] / sum(like))
+        new = [[0.0] * 8, [0.0] * 8]
+        for c in (0, 1):
+            for k in range(8):
+                bad, all_ = 5 * start[c], 5.0
+                for v, e in zip(votes.tolist(), each, strict=True):
+                    if v[k]:
+                        w = e if c == 0 else 1 - e
+                        bad, all_ = bad + w * (v[k] == -1), all_ + w
+                new[c][k] = min(bad / all_, quality.FALSE_ALARM) if c == 0 else max(bad / all_, quality.SHARE)
+        change = max(abs(a - b) for x, y in zip(q, new, strict=True) for a, b in zip(x, y, strict=True))
+        q, p = new, min(max((sum(each) + 8.5) / (len(each) + 10), 0.01), 0.99)
+        if change < 1e-12:
+            break
+    assert np.allclose(rates, q, atol=1e-6) and abs(prior - p) < 1e-6
+    at = {tuple(a): b for a, b in zip(patterns.tolist(), post, strict=True)}
+    assert np.allclose([at[tuple(v)] for v in votes.tolist()], each, atol=1e-6)
+    scorer = quality.Scorer()
+    scorer.weight, scorer.bias = np.random.default_rng(1).standard_normal(quality.WIDTH), 0.3
+    total = [0.3] * len(texts)
+    for d, c, v in zip(*(x.tolist() for x in m.features()), strict=True):
+        total[d] += scorer.weight[c] * v
+    assert np.allclose(scorer.logits(m), total, atol=1e-6)
+
+
 def test_trust_over_links(spark):
     a = lambda *hs: "".join(f'<a href="https://{h}/p">x</a>' for h in hs)
     rows = [(1, "http://good.com/", a("friend.org", "friend.org", "both.org")), (2, "http://friend.org/", a("third.org")), (3, "http://links-to-bad.org/", a("x.net")), (4, "http://x.net/es/", a("both.org")), (5, "http://both.org/", a("x.net")), (6, "http://third.org/", ""), (7, "http://far.org/", a("links-to-bad.org")), (8, "http://alone.org/", "")]
@@ -517,6 +638,53 @@ def test_pipeline_stages(spark):
     assert len(good & scored) > 0.97 * len(good)
 
 
+def test_pipeline_against_brute_force(spark):
+    """Each stage over plain lists; quality by the fitted scorer, items by the matcher, both of which have tests of their own."""
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = {r.doc_id for r in quality.score_documents(docs, quality.fit(docs)).where("kept").collect()}
+    text = {r.doc_id: r.text for r in docs.orderBy("doc_id").collect() if r.doc_id in good}
+    seen, by_size, after = set(), {}, {}
+
+    def near(x):
+        if x in seen:
+            return True
+        return any(one_edit(x, y) for n in (len(x) - 1, len(x), len(x) + 1) for y in by_size.get(n, ()))
+
+    for i, t in text.items():
+        kept = []
+        for x in t.split("\n"):
+            if len(x.strip(" ")) < lines.MIN_CHARS:
+                kept.append(x)
+                continue
+            if not near(x):
+                kept.append(x)
+            if x not in seen:
+                seen.add(x)
+                by_size.setdefault(len(x), []).append(x)
+        joined = "\n".join(kept)
+        if joined == t or joined.split():
+            after[i] = joined
+    sets = dict(zip(after, words.shingles(list(after.values()), 5), strict=True))
+    sets = {i: set(x.tolist()) for i, x in sets.items()}
+    ids = [i for i in sets if sets[i]]
+    root = roots(sets, [(i, j) for k, i in enumerate(ids) for j in ids[:k] if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])])
+    match = decontamination.Matcher([(r.item_id, r.text) for r in table(spark, "benchmark").collect()])
+    left = {i: after[i] for i in after if root[i] == i and not match.matches(after[i])}
+    t = Tokenizer.from_file(PATH)
+    want = {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in left.items()}
+    got = Counter()
+    for r in cp.run(spark, SF).collect():
+        got[r.doc_id] += r.length
+    assert dict(got) == want and 0.5 * docs.count() < len(want) < docs.count()
+
+
+def one_edit(a, b):
+    i = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:]
+
+
 def test_pipeline_judges_each_row(spark, monkeypatch):
     """Rows that repeat a doc_id, or lack one, get no other row's verdict."""
     import corpus_pipeline as cp
