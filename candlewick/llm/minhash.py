@@ -44,7 +44,7 @@ REGION = 512
 CROWD_BLOCK = 4096
 #: Classes of equal sets that are broadcast, at most.
 LARGEST = 2000
-BLOCK_DOCS, BLOCK_BYTES = 4096, 32 << 20
+BLOCK_DOCS, BLOCK_BYTES = 1024, 32 << 20
 
 
 def depth_for(similarity: float) -> int:
