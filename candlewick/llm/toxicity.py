@@ -319,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Network:
 
 
 def score_documents(docs: DataFrame, net: Network) -> DataFrame:
-    """Per row of ``docs``: doc_id, score (0 to 1) and predicted (1 if score >= 0.5, else 0).
+    """Per row of ``docs``: doc_id, score (0 to 1, to six places) and predicted (1 if score >= 0.5, else 0).
 
     The score depends on the text alone: a null or wordless text gets the share of label 1
     in training, at most 0.49. Rows that repeat a doc_id, or lack one, are scored each.
@@ -333,7 +333,8 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
             texts = [x if isinstance(x, str) else None for x in b["text"]]
             score = np.zeros(len(b))
             for lo, hi in parts(texts, 1_500_000):
-                score[lo:hi] = net.score(texts[lo:hi])
+                # single precision: beyond six places a score depends on what is scored along with it
+                score[lo:hi] = net.score(texts[lo:hi]).round(6)
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": score, "predicted": (score >= 0.5).astype(np.int32)})
         release()
 
