@@ -1,11 +1,13 @@
 """Named queries over what is written and read back: store, CSV, pages, streams, reports, downloads.
 
 Orders make the candles: a bar a day, with the symbol ORD/USD, over several years. Files go
-to the shared folder; a written dataset serves all queries of a session that read it.
+to the shared folder; a written dataset serves all queries of a session that read it. The
+session gets the settings that stored candles rely on, UTC among them.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -25,8 +27,10 @@ from .plans.documents import fingerprint, manifests
 from .plans.ingest import DownloadPipeline, slug
 from .plans.status import Status, worst
 from .plans.verification import check_source
-from .queries import DAY, HOLIDAYS, HOUR, RAW, E, END, S, START, _us, _utc, bars_sql, candles, query, raw, read, stamps
+from .queries import DAY, HOLIDAYS, HOUR, RAW, E, END, S, START, _us, _utc, bars_sql, candles, raw, read, stamps
+from .queries import query as named
 from .schema import CANDLE, symbol_dir
+from .session import configure
 from .sources.csv import CsvSource, decimal_of, timestamp_of
 from .sources.http import PagedHttpSource
 from .sources.limits import RetryPolicy
@@ -38,6 +42,19 @@ LO, HI = datetime(1995, 3, 10, tzinfo=UTC), datetime(1995, 9, 20, tzinfo=UTC)
 _made: dict[tuple, str] = {}
 
 
+def query(sql: str):
+    """As in ``queries``; the session is configured before the query is built."""
+
+    def put(f):
+        @functools.wraps(f)
+        def run(spark, d):
+            return f(configure(spark), d)
+
+        return named(sql)(run)
+
+    return put
+
+
 def daily(spark: SparkSession, d: str, every: str = "true") -> DataFrame:
     o = read(spark, d, "orders").where(every).select("o_orderkey", F.date_trunc("day", _utc("o_orderdate")).alias("timestamp"), F.col("o_totalprice").cast("decimal(18,8)").alias("p"))
     bars = o.groupBy("timestamp").agg(F.min_by("p", "o_orderkey").alias("open"), F.max("p").alias("high"), F.min("p").alias("low"), F.max_by("p", "o_orderkey").alias("close"), F.count("*").cast("decimal(28,8)").alias("volume"))
