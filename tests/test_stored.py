@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import UTC, datetime, timedelta
 from decimal import Decimal
 
@@ -329,3 +330,40 @@ def test_stream_finds_what_a_batch_finds(spark, candles, tmp_path):
     for k in ("one", "two"):  # the second run repeats the batch
         upsert(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "c")), store, S, "1min", str(tmp_path / k)).awaitTermination()
     assert store.read(S, "1min").count() == 5
+
+
+def test_stream_of_sessions(spark, tmp_path):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from candlewick.operators.gaps import session_gaps
+    from candlewick.streaming.gap_monitor import monitor
+
+    sessions = [(0, 600), (900, 1500), (1800, 1830), (2000, 2600), (3000, 3600), (4000, 4500)]
+    rng = random.Random(5)
+    series = {k: sorted(rng.sample(range(0, 5000, 20), n)) for k, n in (("a", 60), ("b", 12), ("c", 3), ("d", 1))} | {"none": []}
+    cuts = {k: sorted(rng.choices(range(len(us) + 1), k=3)) for k, us in series.items()}
+    for i in range(5):
+        part = [(k, u) for k, us in series.items() for u in us[([0, *cuts[k]])[i] : [*cuts[k], len(us)][i]]] if i < 4 else [(k, None) for k in series]
+        spark.createDataFrame(part, "k string, us long").coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
+        for f in (tmp_path / "in" / str(i)).glob("*.parquet"):
+            os.utime(f, (1_700_000_000 + i,) * 2)  # files are read in the order of their times
+    read = lambda: spark.readStream.schema("k string, us long").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+    run = lambda: monitor(read(), 60, sessions).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    run()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    batch = session_gaps(
+        spark.createDataFrame([(k, u) for k, us in series.items() for u in us], "k string, us long"),
+        spark.createDataFrame([(i, *x) for i, x in enumerate(sessions)], "sid int, s long, e long"),
+        spark.createDataFrame([(k,) for k in series], "k string"),
+        60,
+    )
+    want = sorted((r.k, r.gap_start, r.gap_end, r.missing) for r in batch.collect())
+    assert sorted((r.k, r.gap_start, r.gap_end, r.missing) for r in got.where("kind = 'gap'").collect()) == want
+    assert ("none", 1800, 1830, 0) in want  # a session too short for a candle
+    totals = {r.k: (r.c, r.g) for r in got.where("kind = 'total'").groupBy("k").agg(F.max("candles").alias("c"), F.max("gaps").alias("g")).collect()}
+    assert totals == {k: (len(us), sum(w[0] == k for w in want)) for k, us in series.items()}
+    spark.createDataFrame([("a", 9000)], "k string, us long").write.parquet(str(tmp_path / "in" / "9"))
+    with pytest.raises(Exception, match="has ended"):
+        run()
