@@ -3,6 +3,7 @@
 A write reads the months it touches, lets incoming rows win, and replaces each month's
 file by one rename, so a reader sees the old month or the new. A read filters by month
 directory as well as by stamp, since Spark prunes directories only by their own columns.
+The root is a path or a URI; listing, footers and renames go through ``files.Folder``.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import in_range, stored
 from ..operators.rows import merge
 from ..schema import CANDLE, schema_differences, symbol_dir
+from .files import Folder
 
 FILE = "candles.parquet"
 
@@ -37,8 +38,8 @@ class Partition:
         return (self.year or 0, self.month or 0) if self.year and self.month else (0, 0)
 
 
-def month_of(path: Path) -> tuple[int | None, int | None]:
-    named = dict(p.split("=", 1) for p in path.parts if "=" in p)
+def month_of(path: str) -> tuple[int | None, int | None]:
+    named = dict(p.split("=", 1) for p in str(path).split("/") if "=" in p)
     try:
         year, month = int(named["year"]), int(named["month"])
     except (KeyError, ValueError):
@@ -48,16 +49,17 @@ def month_of(path: Path) -> tuple[int | None, int | None]:
 
 class CandleStore:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, Path(root)
+        self.spark, self.folder = spark, Folder(root)
+        self.root = self.folder.root
 
-    def path(self, symbol: str, timeframe: str) -> Path:
-        return self.root / symbol_dir(symbol) / f"timeframe={timeframe}"
+    def path(self, symbol: str, timeframe: str) -> str:
+        return self.folder.join(symbol_dir(symbol), f"timeframe={timeframe}")
 
-    def files(self, symbol: str, timeframe: str, start: datetime | None = None, end: datetime | None = None) -> list[Path]:
+    def files(self, symbol: str, timeframe: str, start: datetime | None = None, end: datetime | None = None) -> list[str]:
         """Of the months that overlap the range; a file that names no month always counts."""
         out = []
-        for p in sorted(self.path(symbol, timeframe).rglob("*.parquet")):
-            if any(x.startswith((".", "_")) for x in p.relative_to(self.root).parts):
+        for p in self.folder.list(self.path(symbol, timeframe)):
+            if not p.endswith(".parquet") or any(x.startswith((".", "_")) for x in self.folder.relative(p).split("/")):
                 continue
             y, m = month_of(p)
             if y is not None:
@@ -78,11 +80,11 @@ class CandleStore:
         for p in self.files(symbol, timeframe):
             y, m = month_of(p)
             try:
-                with pq.ParquetFile(p) as f:
+                with pq.ParquetFile(self.folder.at(p), filesystem=self.folder.fs) as f:
                     diff = schema_differences(from_arrow_schema(f.schema_arrow, prefer_timestamp_ntz=True))
-                    out.append(Partition(str(p), y, m, f.metadata.num_rows, tuple(diff)))
+                    out.append(Partition(p, y, m, f.metadata.num_rows, tuple(diff)))
             except Exception as e:
-                out.append(Partition(str(p), y, m, 0, (), f"{p}: {type(e).__name__}: {e}"))
+                out.append(Partition(p, y, m, 0, (), f"{p}: {type(e).__name__}: {e}"))
         return out
 
     def scan(self, paths: list[str]) -> DataFrame:
@@ -97,11 +99,11 @@ class CandleStore:
     def read(self, symbol: str, timeframe: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         """Candles in range, months outside it unread. Unordered: order where it shows."""
         files = self.files(symbol, timeframe, start, end)
-        return self.scan([str(p) for p in files]).select(*CANDLE.names).where(in_range(start, end))
+        return self.scan(files).select(*CANDLE.names).where(in_range(start, end))
 
     def month(self, symbol: str, timeframe: str, year: int, month: int) -> DataFrame:
         """Candles of one month's files."""
-        return self.scan([str(p) for p in self.files(symbol, timeframe) if month_of(p) == (year, month)]).select(*CANDLE.names)
+        return self.scan([p for p in self.files(symbol, timeframe) if month_of(p) == (year, month)]).select(*CANDLE.names)
 
     def stamps(self, symbol: str, timeframe: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         """Timestamps in range, in order; of the files only that column is read."""
@@ -113,7 +115,7 @@ class CandleStore:
 
         found, bare = [], []
         for p in paths:
-            meta = pq.read_metadata(p)
+            meta = pq.read_metadata(self.folder.at(p), filesystem=self.folder.fs)
             at = meta.schema.names.index("timestamp")
             stats = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups) if meta.row_group(i).num_rows]
             if all(s is not None and s.has_min_max for s in stats):
@@ -131,7 +133,7 @@ class CandleStore:
 
         for p in self.files(symbol, timeframe, start, end):
             try:
-                if pq.read_metadata(p).num_rows:
+                if pq.read_metadata(self.folder.at(p), filesystem=self.folder.fs).num_rows:
                     return True
             except Exception:
                 continue
@@ -144,24 +146,20 @@ class CandleStore:
         if not months:
             return []
         base = self.path(symbol, timeframe)
-        at = {m: base / f"year={m[:4]}" / f"month={m[4:]}" for m in months}
-        old = [str(p) for d in at.values() if d.exists() for p in sorted(d.glob("*.parquet"))] if not replace else []
+        at = {m: f"{base}/year={m[:4]}/month={m[4:]}" for m in months}
+        held = {m: [p for p in self.folder.list(d, recursive=False) if p.endswith(".parquet")] for m, d in at.items()}
+        old = [] if replace else [p for ps in held.values() for p in ps]
         if old:
             rows = merge(self.scan(old).select(*CANDLE.names), rows, order)
-        stage = base / f"_staging-{uuid.uuid4().hex}"
+        stage = f"{base}/_staging-{uuid.uuid4().hex}"
         out = rows.select(*CANDLE.names).withColumn("m", F.date_format("timestamp", "yyyyMM"))
         # a task and a file for each month
-        out.repartition("m").sortWithinPartitions("m", "timestamp").write.partitionBy("m").option("maxRecordsPerFile", 0).parquet(str(stage))
-        written = []
+        out.repartition("m").sortWithinPartitions("m", "timestamp").write.partitionBy("m").option("maxRecordsPerFile", 0).parquet(stage)
+        parts = {month: p for p in self.folder.list(stage) if p.endswith(".parquet") for month in months if f"/m={month}/part-" in p}
         for m, d in at.items():
-            parts = sorted((stage / f"m={m}").glob("part-*.parquet"))
-            d.mkdir(parents=True, exist_ok=True)
-            parts[0].replace(d / FILE)
-            for stray in d.glob("*.parquet"):
-                if stray.name != FILE:
-                    stray.unlink()
-            written.append(str(d / FILE))
-        import shutil
-
-        shutil.rmtree(stage)
-        return written
+            self.folder.move(parts[m], f"{d}/{FILE}")
+            for stray in held[m]:
+                if stray != f"{d}/{FILE}":
+                    self.folder.remove(stray)
+        self.folder.remove_tree(stage)
+        return [f"{d}/{FILE}" for d in at.values()]

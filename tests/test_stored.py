@@ -2,13 +2,14 @@ import json
 import os
 from datetime import UTC, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import T0, row
 
 from candlewick.cli import main
 from candlewick.operators.calendars import AlwaysOpen, WeeklyCalendar
-from candlewick.operators.reports import compare_datasets, validate_dataset
+from candlewick.operators.reports import compare_datasets, files_fingerprint, validate_dataset
 from candlewick.plans.chunks import ChunkSize, Stage, months_later, parse_chunk_size, plan_chunks, stage_of, window_of
 from candlewick.plans.documents import fingerprint, load, plain
 from candlewick.plans.ingest import Checkpoint, CheckpointStore, DownloadPipeline, carry_over
@@ -42,7 +43,7 @@ def test_upsert_by_month(spark, candles, tmp_path):
     store = CandleStore(spark, str(tmp_path))
     late = datetime(2026, 8, 31, 23, 58, tzinfo=UTC)
     files = store.write(candles([row(i, start=late) for i in range(4)]), S, "1min")
-    assert [month_of(store.root / f) for f in files] == [(2026, 8), (2026, 9)]
+    assert [month_of(f) for f in files] == [(2026, 8), (2026, 9)]
     store.write(candles([row(3, "1.5", start=late), row(4, start=late)]), S, "1min")
     got = store.read(S, "1min").orderBy("timestamp").collect()
     assert len(got) == 5 and got[3].open == Decimal("1.5")
@@ -57,6 +58,23 @@ def test_upsert_by_month(spark, candles, tmp_path):
     assert store.read(S, "1min").count() == 4
 
 
+def test_root_as_uri(spark, candles, tmp_path):
+    uri = tmp_path.as_uri()
+    store = CandleStore(spark, uri)
+    files = store.write(candles([row(i, start=datetime(2026, 8, 31, 23, 58, tzinfo=UTC)) for i in range(4)]), S, "1min")
+    assert files == store.files(S, "1min") and all(f.startswith(uri + "/") for f in files)
+    stray = Path(tmp_path, store.folder.relative(files[0])).with_name("other.parquet")
+    stray.write_bytes(Path(tmp_path, store.folder.relative(files[0])).read_bytes())
+    store.write(candles([row(0, "1.5", start=datetime(2026, 8, 31, 23, 58, tzinfo=UTC))]), S, "1min")
+    assert store.read(S, "1min").count() == 4 and not stray.exists() and [p.rows for p in store.inspect(S, "1min")] == [2, 2]
+    assert store.bounds(files)[0] == datetime(2026, 8, 31, 23, 58, tzinfo=UTC) and store.has_rows(S, "1min", *store.bounds(files))
+    other = CandleStore(spark, str(tmp_path))
+    assert other.files(S, "1min") == [f.removeprefix("file://") for f in files]
+    assert files_fingerprint(files, store.folder) == files_fingerprint(other.files(S, "1min"), other.folder)
+    v = validate_dataset(spark, symbol=S, timeframe="1min", data_root=uri)
+    assert (v.candles, v.missing_candles) == (4, 0)
+
+
 def test_months_outside_a_range_are_not_read(spark, candles, tmp_path):
     store = CandleStore(spark, str(tmp_path))
     store.write(candles([row(i, step=timedelta(days=20)) for i in range(6)]), S, "1min")
@@ -125,8 +143,8 @@ def test_a_failed_chunk_leaves_the_others(spark, tmp_path, roots):
 def test_audit_finds_defects(spark, candles, tmp_path):
     store = CandleStore(spark, str(tmp_path))
     store.write(candles([row(i) for i in range(10) if i not in (4, 5)] + [row(0, start=datetime(2026, 9, 1, tzinfo=UTC))]), S, "1min")
-    aug = next(p for p in store.files(S, "1min") if "month=08" in str(p))
-    sep = aug.parent.parent / "month=09" / "candles.parquet"
+    aug = next(p for p in store.files(S, "1min") if "month=08" in p)
+    sep = Path(aug).parent.parent / "month=09" / "candles.parquet"
     spark.read.parquet(str(sep)).unionByName(candles([row(2), row(3, h="1.0")])).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "x"))
     next((tmp_path / "x").glob("part-*")).replace(sep)
     v = validate_dataset(spark, symbol=S, timeframe="1min", data_root=str(tmp_path), start=T0, end=T0 + timedelta(minutes=10))
