@@ -11,6 +11,8 @@ not the votes, judges each document, in one scan without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -230,23 +232,33 @@ def fit(docs: DataFrame) -> Scorer:
     return scorer
 
 
-def score_documents(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """Per row of ``docs``: doc_id, score (of being good, 0 to 1), kept (score >= 0.5).
+def with_scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """``docs`` with score (of being good, 0 to 1) and kept (score >= 0.5) beside their other columns.
 
-    A null or wordless text has score 0 and isn't kept. Rows that repeat a doc_id, or
-    lack one, are scored each. Only doc_id and text are read.
+    Only the text goes to Python and nothing is shuffled, so each row carries its own verdict.
+    A null or wordless text has score 0 and isn't kept. Columns named as the two are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(scorer)  # of fixed size
 
-    def work(batches):
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
-            texts = _texts(b)
-            score = np.zeros(len(b))
+            texts = [x if isinstance(x, str) else None for x in b]
+            out = np.zeros(len(texts))
             for lo, hi in parts(texts):
                 m = Measures(texts[lo:hi])
-                score[lo:hi] = np.where(m.n > 0, 1 / (1 + np.exp(-np.clip(held.value.logits(m), -30, 30))), 0)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": score, "kept": score >= 0.5})
+                out[lo:hi] = np.where(m.n > 0, 1 / (1 + np.exp(-np.clip(held.value.logits(m), -30, 30))), 0)
+            yield pd.Series(out)
         release()
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(work, "doc_id string, score double, kept boolean").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = docs.drop("score", "kept").withColumn("score", score(F.col("text").cast("string")))
+    return rows.withColumn("kept", F.col("score") >= 0.5)
+
+
+def score_documents(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """Per row of ``docs``: doc_id, and score and kept as ``with_scores`` tells.
+
+    Rows that repeat a doc_id, or lack one, are scored each. Only doc_id and text are read.
+    """
+    rows = with_scores(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text"), scorer)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "score", "kept")
