@@ -11,11 +11,11 @@ not the votes, judges each document, in one scan without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import parts, release
@@ -232,13 +232,12 @@ def fit(docs: DataFrame) -> Scorer:
     return scorer
 
 
-def with_scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """``docs`` with score (of being good, 0 to 1) and kept (score >= 0.5) beside their other columns.
+def scoring(spark: SparkSession, scorer: Scorer) -> Callable[[Column], Column]:
+    """A function of a text column that gives its score: of being good, 0 to 1; a null or wordless text has 0.
 
-    Only the text goes to Python and nothing is shuffled, so each row carries its own verdict.
-    A null or wordless text has score 0 and isn't kept. Columns named as the two are replaced.
+    Only that column goes to Python and nothing is shuffled, so each row carries its own verdict.
     """
-    held = docs.sparkSession.sparkContext.broadcast(scorer)  # of fixed size
+    held = spark.sparkContext.broadcast(scorer)  # of fixed size
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -251,8 +250,13 @@ def with_scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
             yield pd.Series(out)
         release()
 
-    rows = docs.drop("score", "kept").withColumn("score", score(F.col("text").cast("string")))
-    return rows.withColumn("kept", F.col("score") >= 0.5)
+    return lambda text: score(text.cast("string"))
+
+
+def with_scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """``docs`` with score, as ``scoring`` tells, and kept (score >= 0.5) beside their other columns. Columns named as the two are replaced."""
+    score = scoring(docs.sparkSession, scorer)
+    return docs.drop("score", "kept").withColumn("score", score(F.col("text"))).withColumn("kept", F.col("score") >= 0.5)
 
 
 def score_documents(docs: DataFrame, scorer: Scorer) -> DataFrame:
