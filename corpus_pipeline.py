@@ -36,8 +36,8 @@ def _keep(rows: DataFrame, judged: DataFrame, kept: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops rows whose text scores below 0.5; a null or wordless text scores 0. Ties and repeats are judged each."""
-    scored = quality.with_scores(docs.select(F.struct(*docs.columns).alias("row"), "text"), quality.fit(docs))
-    return scored.where("kept").select("row.*")
+    score = quality.scoring(spark, quality.fit(docs))
+    return docs.where(score(F.col("text")) >= 0.5)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
